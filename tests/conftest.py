@@ -1,0 +1,34 @@
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+from predial.session import configure  # noqa: E402
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("predial-tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.shuffle.partitions", "8")
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    return configure(session)
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path / "out")
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: [(v is None, str(v)) for v in r])

@@ -309,7 +309,7 @@ def oracles() -> dict[str, str]:
             WHERE NOT {_blank("fecha_escritura")} AND valor_fecha_escritura IS NULL""",
         "describe": PROFILE + " UNION ALL ".join(
             f"""SELECT '{c}' AS precio, count(valor_{c}) AS registros,
-            round(avg(valor_{c}), 2) AS media, round(stddev_samp(valor_{c}), 2) AS desviacion,
+            round(avg(valor_{c}), -3) AS media, round(stddev_samp(valor_{c}), -3) AS desviacion,
             min(valor_{c}) AS minimo, max(valor_{c}) AS maximo FROM vals""" for c in PRICES),
         "positive_prices": _with(RAW_SALES, VALUES, POSITIVE)
         + "SELECT precio, valor, count(*) AS n FROM positive GROUP BY precio, valor",

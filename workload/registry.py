@@ -217,7 +217,7 @@ def _prices(spark, sf_dir):
 @query
 def describe(spark, sf_dir):
     found = quantiles.describe(_prices(spark, sf_dir), PRICES)
-    rounded = {c: F.round(c, 2) for c in ("media", "desviacion")}
+    rounded = {c: F.round(c, -3) for c in ("media", "desviacion")}
     return found.withColumns(rounded)
 
 
