@@ -12,8 +12,11 @@ from predial.contracts import ContractError
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select the schema's columns in order and cast them.
 
-    With ANSI casts (see `predial.session`) bad text and overflow fail the job.
+    Bad text and overflow fail the job, which takes ANSI casts: without them they would
+    turn into null or wrap around unseen, so a session that has them off is refused.
     """
+    if df.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
+        raise ContractError("strict casts need spark.sql.ansi.enabled (see predial.session)")
     return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
 
 

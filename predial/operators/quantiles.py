@@ -128,34 +128,46 @@ def fences(quantiles: DataFrame) -> DataFrame:
     )
 
 
-def _against(values: DataFrame, limits: DataFrame) -> DataFrame:
-    """Values next to their price's limits: one row per price, so always broadcast."""
-    return values.join(F.broadcast(limits), "precio")
+def spread(values: DataFrame, limits: DataFrame) -> DataFrame:
+    """Everything the two reports below show, in one pass over the values.
 
+    `limits` has one row per price, so it is always broadcast.
+    """
+
+    def total(condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col("n")).otherwise(F.lit(0)))
 
-def _total(condition: Column) -> Column:
-    return F.sum(F.when(condition, F.col("n")).otherwise(F.lit(0)))
+    value, low, high = F.col("valor"), F.col("limite_inferior"), F.col("limite_superior")
+    inside = value.between(low, high)
+    keys = [c for c in limits.columns if c != "precio"]
+    return (
+        values.join(F.broadcast(limits), "precio")
+        .groupBy("precio", *keys)
+        .agg(
+            F.sum("n").alias("validos"),
+            total(value < low).alias("bajo_limite"),
+            total(value > high).alias("sobre_limite"),
+            F.min(F.when(inside, value)).alias("bigote_inferior"),
+            F.max(F.when(inside, value)).alias("bigote_superior"),
+            total(~inside).alias("atipicos"),
+        )
+    )
 
 
-def iqr_report(values: DataFrame, limits: DataFrame) -> DataFrame:
+def iqr_report(spread: DataFrame) -> DataFrame:
     """Quartiles, fences and how many values lie beyond them.
 
     A price without positive values has no row.
     """
-    keys = ["precio", "q1", "q3", "iqr", "limite_inferior", "limite_superior"]
-    return _against(values, limits).groupBy(*keys).agg(
-        F.sum("n").alias("validos"),
-        _total(F.col("valor") < F.col("limite_inferior")).alias("bajo_limite"),
-        _total(F.col("valor") > F.col("limite_superior")).alias("sobre_limite"),
+    return spread.select(
+        "precio", "q1", "q3", "iqr", "limite_inferior", "limite_superior",
+        "validos", "bajo_limite", "sobre_limite",
     )
 
 
-def box_summary(values: DataFrame, limits: DataFrame) -> DataFrame:
+def box_summary(spread: DataFrame) -> DataFrame:
     """What a box plot shows: box, median, whisker ends and number of outliers."""
-    inside = F.col("valor").between(F.col("limite_inferior"), F.col("limite_superior"))
-    return _against(values, limits).groupBy("precio", "q1", "mediana", "q3").agg(
-        F.min(F.when(inside, F.col("valor"))).alias("bigote_inferior"),
-        F.max(F.when(inside, F.col("valor"))).alias("bigote_superior"),
-        _total(~inside).alias("atipicos"),
-        F.sum("n").alias("validos"),
+    return spread.select(
+        "precio", "q1", "mediana", "q3", "bigote_inferior", "bigote_superior",
+        "atipicos", "validos",
     )

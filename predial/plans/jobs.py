@@ -14,7 +14,6 @@ from predial.contracts import (
     RAW_BUILDINGS,
     RAW_PROPERTIES,
     RAW_SALES,
-    ROL,
     SAMPLE_ROWS,
     SCHEMAS,
 )
@@ -56,7 +55,7 @@ def run_profile(
     reports = {}
     with Stage(spark, "profile") as stage:
         values = stage.keep(profile.with_values(raw), "values")
-        frames = profile.profile_prices(values, today, exact).frames()
+        frames = vars(profile.profile_prices(values, today, exact, keep=stage.keep))
         frames["sample"] = profile.sample_view(values, max_rows=sample_rows)
         for name, frame in frames.items():
             target = f"{output.rstrip('/')}/{name}"
@@ -128,15 +127,8 @@ def run_prices(
         final = prices.finish_sales(typed, reference, dates, clp_cap, uf_cap)
         final = stage.keep(final, "final")
 
-        capped = prices.cap_prices(prices.usable(typed), clp_cap, uf_cap)
-        audit = [
-            prices.clean_audit(typed),
-            prices.impute_audit(prices.attach_rates(capped, reference, dates)),
-            prices.pending_audit(final),
-        ]
-        if clp_cap is not None and uf_cap is not None:
-            audit.append(prices.cap_audit(typed, clp_cap, uf_cap))
-        figures = {k: n for frame in audit for k, n in frame.first().asDict().items()}
+        audit = prices.sales_audit(typed, reference, dates, clp_cap, uf_cap)
+        figures = audit.first().asDict()
 
         tables = {"precios_transaccionales": final, "precios_uf": prices.build_uf(rates)}
         for name in LOOKUP_TABLES:

@@ -176,29 +176,31 @@ def _cleaning() -> dict[str, Column]:
     }
 
 
-def _capping(clp_cap: float, uf_cap: float) -> dict[str, Column]:
+def _capping(clp_cap: float | None, uf_cap: float | None) -> dict[str, Column]:
+    never = F.lit(False)
     return {
-        "uf_sobre_limite_plausible": F.col("precio_uf") > uf_cap,
-        "clp_sobre_limite_plausible": F.col("precio_clp") > clp_cap,
+        "uf_sobre_limite_plausible": never if uf_cap is None else F.col("precio_uf") > uf_cap,
+        "clp_sobre_limite_plausible": never if clp_cap is None else F.col("precio_clp") > clp_cap,
     }
 
 
-def _imputing() -> dict[str, Column]:
-    clp, uf, rate = (F.col(c).isNotNull() for c in ("precio_clp", "precio_uf", "uf"))
+def _imputing(clp: Column, uf: Column) -> dict[str, Column]:
+    rate = F.col("uf").isNotNull()
+    no_clp, no_uf = clp.isNull(), uf.isNull()
     return {
         "transacciones_tras_limpieza": F.lit(True),
-        "ambos_ausentes_conservados": no_price(),
+        "ambos_ausentes_conservados": no_clp & no_uf,
         "sin_conversion_diaria": ~rate,
-        "clp_a_imputar": ~clp & uf & rate,
-        "uf_a_imputar": ~uf & clp & rate,
+        "clp_a_imputar": no_clp & ~no_uf & rate,
+        "uf_a_imputar": no_uf & ~no_clp & rate,
     }
 
 
-def _pending() -> dict[str, Column]:
+def _pending(no_clp: Column, no_uf: Column) -> dict[str, Column]:
     return {
-        "clp_pendiente": F.col("precio_clp").isNull(),
-        "uf_pendiente": F.col("precio_uf").isNull(),
-        "ambos_pendientes_conservados": no_price(),
+        "clp_pendiente": no_clp,
+        "uf_pendiente": no_uf,
+        "ambos_pendientes_conservados": no_clp & no_uf,
     }
 
 
@@ -214,9 +216,27 @@ def cap_audit(typed: DataFrame, clp_cap: float = CLP_CAP, uf_cap: float = UF_CAP
 
 def impute_audit(attached: DataFrame) -> DataFrame:
     """On `attach_rates`: what can and what cannot be filled in."""
-    return tally(attached, _imputing())
+    return tally(attached, _imputing(F.col("precio_clp"), F.col("precio_uf")))
 
 
 def pending_audit(final: DataFrame) -> DataFrame:
     """On the finished table: prices still missing."""
-    return tally(final, _pending())
+    return tally(final, _pending(*(F.col(c).isNull() for c in PRICES)))
+
+
+def sales_audit(
+    typed: DataFrame,
+    reference: DataFrame,
+    dates: int,
+    clp_cap: float | None = CLP_CAP,
+    uf_cap: float | None = UF_CAP,
+) -> DataFrame:
+    """The four audits above in one row from one scan of `type_sales`."""
+    clp = positive_up_to(F.col("precio_clp"), clp_cap)
+    uf = positive_up_to(F.col("precio_uf"), uf_cap)
+    no_rate = F.col("uf").isNull()
+    unfilled_clp = clp.isNull() & (uf.isNull() | no_rate)
+    unfilled_uf = uf.isNull() & (clp.isNull() | no_rate)
+    later = _capping(clp_cap, uf_cap) | _imputing(clp, uf) | _pending(unfilled_clp, unfilled_uf)
+    kept = {name: usable_sale() & condition for name, condition in later.items()}
+    return tally(attach_rates(typed, reference, dates), _cleaning() | kept)

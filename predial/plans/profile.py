@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -31,6 +32,7 @@ from predial.operators.quantiles import (
     fences,
     iqr_report,
     positive_values,
+    spread,
 )
 from predial.operators.sampling import capped_sample
 
@@ -134,7 +136,7 @@ def read_prices(values: DataFrame) -> DataFrame:
 
 @dataclass
 class PriceProfile:
-    """Lazy reports. Frames over the same values frame; nothing has run yet."""
+    """The reports, as frames."""
 
     counts: DataFrame
     duplicates: DataFrame
@@ -145,8 +147,9 @@ class PriceProfile:
     iqr: DataFrame
     box: DataFrame
 
-    def frames(self) -> dict[str, DataFrame]:
-        return dict(vars(self))
+
+def _as_is(df: DataFrame, name: str) -> DataFrame:
+    return df
 
 
 def profile_prices(
@@ -155,20 +158,23 @@ def profile_prices(
     exact: bool = False,
     error: float = QUARTILE_ERROR,
     examples: int = 5,
+    keep: Callable[[DataFrame, str], DataFrame] = _as_is,
 ) -> PriceProfile:
-    """All reports over `with_values`, which several of them scan: stage it first.
+    """All reports over `with_values`.
 
     Quartiles carry a relative rank error, or are exact at the cost of a shuffle of
-    the different prices.
+    the different prices. Reports share intermediate results: `keep` (`Stage.keep`)
+    stores those so that they are computed once; without it all stays lazy.
     """
     prices = read_prices(values)
     positive = positive_values(prices, PRICES)
     if exact:
-        positive = collapse(positive)
-        limits = fences(exact_quantiles(positive, QUARTILES))
+        positive = keep(collapse(positive), "prices")
+        found = exact_quantiles(positive, QUARTILES)
     else:
-        limits = fences(approx_quantiles(positive, QUARTILES, error))
-    groups = repeated_sales(values)
+        found = approx_quantiles(positive, QUARTILES, error)
+    figures = keep(spread(positive, keep(fences(found), "limits")), "spread")
+    groups = keep(repeated_sales(values), "repeated")
     return PriceProfile(
         counts=profile_counts(values, today),
         duplicates=exact_duplicates(values.select(*RAW_SALES)),
@@ -176,8 +182,8 @@ def profile_prices(
         most_repeated=most_repeated(groups, examples),
         unreadable_dates=unreadable_dates(values).limit(examples),
         statistics=describe(prices, PRICES),
-        iqr=iqr_report(positive, limits),
-        box=box_summary(positive, limits),
+        iqr=iqr_report(figures),
+        box=box_summary(figures),
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from predial.contracts import PERIOD, SCHEMAS, ContractError, float_columns
 from predial.functions.rules import is_bad_link, not_finite
 from predial.operators.casting import check_schema
+from predial.operators.counting import count_by
 from predial.sources.tables import read_period, read_table
 
 
@@ -38,6 +39,12 @@ def bad_links(df: DataFrame) -> DataFrame:
     return df.filter(is_bad_link())
 
 
+def foreign_periods(df: DataFrame, periods: Sequence[str]) -> DataFrame:
+    """Rows per period that should not be there; a null period is one."""
+    expected = F.coalesce(F.col(PERIOD).isin(*periods), F.lit(False))
+    return count_by(df.filter(~expected), PERIOD)
+
+
 def measure(df: DataFrame, table: str, periods: Sequence[str] = ()) -> Mapping[str, int]:
     """Every figure the guards need, in one pass and one row."""
     figures = [F.count("*").alias("rows")]

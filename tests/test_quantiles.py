@@ -46,9 +46,9 @@ def test_known_quartiles(spark):
 def test_no_positive_value_gives_no_row(spark):
     prices = ["precio_clp", "precio_uf"]
     counts = q.collapse(q.positive_values(frame(spark, [0.0, None]), prices))
-    assert q.iqr_report(counts, q.fences(q.exact_quantiles(counts))).count() == 0
+    assert q.iqr_report(q.spread(counts, q.fences(q.exact_quantiles(counts)))).count() == 0
     plain = q.positive_values(frame(spark, [0.0, None]), prices)
-    assert q.iqr_report(plain, q.fences(q.approx_quantiles(plain))).count() == 0
+    assert q.iqr_report(q.spread(plain, q.fences(q.approx_quantiles(plain)))).count() == 0
 
 
 def test_approximate_quartiles_stay_within_the_error(spark):
@@ -66,10 +66,10 @@ def test_reports(spark):
     plain = q.positive_values(frame(spark, values), ["precio_clp", "precio_uf"])
     counts = q.collapse(plain)
     limits = q.fences(q.exact_quantiles(counts))
-    report = q.iqr_report(counts, limits).collect()
+    report = q.iqr_report(q.spread(counts, limits)).collect()
     assert [tuple(r) for r in report] == [("precio_clp", 2.0, 20.0, 18.0, -25.0, 47.0, 8, 0, 1)]
-    assert [tuple(r) for r in q.iqr_report(plain, limits).collect()] == [tuple(r) for r in report]
-    box = q.box_summary(counts, limits).collect()
+    assert [tuple(r) for r in q.iqr_report(q.spread(plain, limits)).collect()] == [tuple(r) for r in report]
+    box = q.box_summary(q.spread(counts, limits)).collect()
     assert [tuple(r) for r in box] == [("precio_clp", 2.0, 4.0, 20.0, 1.0, 30.0, 1, 8)]
 
 
@@ -85,7 +85,7 @@ def test_source_is_scanned_once(spark, tmp_path):
     path = str(tmp_path / "p")
     frame(spark, CASES["hot"]).write.parquet(path)
     counts = q.collapse(q.positive_values(spark.read.parquet(path), ["precio_clp", "precio_uf"]))
-    report = q.iqr_report(counts, q.fences(q.exact_quantiles(counts)))
+    report = q.iqr_report(q.spread(counts, q.fences(q.exact_quantiles(counts))))
     report.collect()
     final = report._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("FileScan") == 1

@@ -13,7 +13,7 @@ DIALECTS = {
 
 # ROL parts of an order key.
 COM = "cast(k % 346 as string)"
-MZ = "cast(cast(floor(k / 346.0) as bigint) as string)"
+MZ = "cast(cast((k - k % 346) / 346 as bigint) as string)"
 PR = "cast((k * 7919) % 80000 as string)"
 YMD = "cast(year(d) * 10000 + month(d) * 100 + day(d) as string)"
 MONEY = "cast(cast(o_totalprice as decimal(18,2)) as string)"

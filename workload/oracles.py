@@ -250,29 +250,38 @@ def oracles() -> dict[str, str]:
     sales = _sales()
     typed = _with(RAW_SALES, _typed())
     bad_rol = " OR ".join(f"{c} IS NULL" for c in ROL)
-    found = {
-        "precios": sales + "SELECT * FROM final",
-        "precios_uncapped": _sales(caps=("", "")) + "SELECT * FROM final",
-        "precios_strict_key": _sales(to_int=_strict_int) + "SELECT * FROM final",
-        "clean_audit": typed + _counts({
+    audits = {
+        "clean": {
             "rol_faltante_o_invalido": bad_rol,
             "fecha_faltante_o_invalida": "fecha_escritura IS NULL",
             "filas_eliminadas_por_rol_o_fecha": f"{bad_rol} OR fecha_escritura IS NULL",
             "clp_no_positivo": "precio_clp <= 0",
             "uf_no_positivo": "precio_uf <= 0",
             "ambos_sin_valor_numerico": "precio_clp IS NULL AND precio_uf IS NULL",
-        }, "typed"),
-        "cap_audit": _with(RAW_SALES, _typed(), USABLE) + _counts({
+        },
+        "cap": {
             "uf_sobre_limite_plausible": "precio_uf > 1000000",
             "clp_sobre_limite_plausible": "precio_clp > 40000000000",
-        }, "usable"),
-        "impute_audit": sales + _counts({
+        },
+        "impute": {
             "transacciones_tras_limpieza": "true",
             "ambos_ausentes_conservados": "precio_clp IS NULL AND precio_uf IS NULL",
             "sin_conversion_diaria": "uf IS NULL",
             "clp_a_imputar": "precio_clp IS NULL AND precio_uf IS NOT NULL AND uf IS NOT NULL",
             "uf_a_imputar": "precio_uf IS NULL AND precio_clp IS NOT NULL AND uf IS NOT NULL",
-        }, "attached"),
+        },
+    }
+    found = {
+        "precios": sales + "SELECT * FROM final",
+        "precios_uncapped": _sales(caps=("", "")) + "SELECT * FROM final",
+        "precios_strict_key": _sales(to_int=_strict_int) + "SELECT * FROM final",
+        "clean_audit": typed + _counts(audits["clean"], "typed"),
+        "cap_audit": _with(RAW_SALES, _typed(), USABLE) + _counts(audits["cap"], "usable"),
+        "impute_audit": sales + _counts(audits["impute"], "attached"),
+        "sales_audit": sales + "SELECT * FROM " + ", ".join(
+            f"({_counts(conditions, source)})" for conditions, source in (
+                (audits["clean"], "typed"), (audits["cap"], "usable"),
+                (audits["impute"], "attached"), (PENDING, "final"))),
         "pending_audit": sales + _counts(PENDING, "final"),
         "nonfinite_audit": sales + _counts({c: f"NOT isfinite({c})" for c in PRICES}, "final"),
         "no_price": sales + _counts(
@@ -343,6 +352,9 @@ def oracles() -> dict[str, str]:
             FROM ({NO_AGRICOLA}) WHERE superficie_total_construcciones IS NOT NULL""",
         "period_counts": _with(_buildings(True))
         + "SELECT periodo, count(*) AS registros FROM buildings GROUP BY periodo",
+        "foreign_periods": _with(_properties(True))
+        + f"SELECT periodo, count(*) AS registros FROM properties "
+        f"WHERE periodo <> '{fx.PERIODS[0]}' GROUP BY periodo",
         "coordenadas": _lookup(fx.COORDINATES, "coordenadas", "supplier"),
         "comuna_region": """SELECT n_nationkey AS cod_com, r_regionkey AS cod_region,
             n_name AS comuna, r_name AS region

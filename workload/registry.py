@@ -25,6 +25,7 @@ from predial.plans import cadastre, lookups, prices, profile
 from predial.plans.publish import publish
 from predial.session import configure, scratch_folder
 from predial.sinks import catalog, guards
+from predial.sinks.staging import Stage
 from predial.sources.tables import read_period
 from predial.sources.text import (
     period_path,
@@ -61,6 +62,14 @@ def _typed(spark, sf_dir):
     return prices.type_sales(views.raw_sales(spark, sf_dir))
 
 
+def _publish_final(spark, sf_dir, label):
+    """The finished sale table as a published folder; its rows are computed once."""
+    root, name = scratch_folder(spark, label), "precios_transaccionales"
+    with Stage(spark, label) as stage:
+        publish(stage.keep(_final(spark, sf_dir), name), name, root, root)
+    return f"{root}/{name}"
+
+
 def _final(spark, sf_dir, **options):
     return prices.build_precios(
         views.raw_sales(spark, sf_dir), _rates(spark, sf_dir), **options
@@ -107,6 +116,14 @@ def pending_audit(spark, sf_dir):
     return prices.pending_audit(_final(spark, sf_dir))
 
 
+@query
+def sales_audit(spark, sf_dir):
+    """All four audits in one scan."""
+    rates = _rates(spark, sf_dir)
+    dates = prices.check_rates(rates)
+    return prices.sales_audit(_typed(spark, sf_dir), prices.rate_reference(rates), dates)
+
+
 @query
 def nonfinite_audit(spark, sf_dir):
     return guards.non_finite_audit(_final(spark, sf_dir), "precios_transaccionales")
@@ -224,7 +241,7 @@ def describe(spark, sf_dir):
 def _exact(spark, sf_dir):
     positive = quantiles.positive_values(_prices(spark, sf_dir), PRICES)
     counts = quantiles.collapse(positive)
-    return counts, quantiles.fences(quantiles.exact_quantiles(counts))
+    return quantiles.spread(counts, quantiles.fences(quantiles.exact_quantiles(counts)))
 
 
 @query
@@ -234,12 +251,12 @@ def positive_prices(spark, sf_dir):
 
 @query
 def iqr(spark, sf_dir):
-    return quantiles.iqr_report(*_exact(spark, sf_dir))
+    return quantiles.iqr_report(_exact(spark, sf_dir))
 
 
 @query
 def box(spark, sf_dir):
-    return quantiles.box_summary(*_exact(spark, sf_dir))
+    return quantiles.box_summary(_exact(spark, sf_dir))
 
 
 @query
@@ -330,6 +347,11 @@ def period_counts(spark, sf_dir):
     return count_by(_buildings(spark, sf_dir, periods=True), "periodo")
 
 
+@query
+def foreign_periods(spark, sf_dir):
+    return guards.foreign_periods(_properties(spark, sf_dir, periods=True), PERIODS[:1])
+
+
 # -- lookups ----------------------------------------------------------------------
 
 
@@ -411,18 +433,18 @@ def csv_cadastre(spark, sf_dir):
 
 
 def publish_cadastre(spark: SparkSession, sf_dir: str) -> str:
-    """All three period tables, published twice for one period: the rerun must not add."""
+    """All three period tables, one of them published twice: the rerun must not add."""
     root = scratch_folder(spark, "published")
-    properties = _properties(spark, sf_dir, periods=True)
-    tables = {
-        "construcciones": _buildings(spark, sf_dir, periods=True),
-        "no_agricola": _no_agricola(spark, sf_dir, periods=True),
-        "nexo_bc": cadastre.build_nexo_bc(properties),
-    }
-    for name, df in tables.items():
-        publish(df, name, root, root, PERIODS)
-    again = tables["nexo_bc"].filter(F.col("periodo") == PERIODS[0])
-    publish(again, "nexo_bc", root, root, PERIODS[:1])
+    with Stage(spark, "cadastre") as stage:
+        lines = stage.keep(_buildings(spark, sf_dir, periods=True), "lines")
+        owned = stage.keep(_properties(spark, sf_dir, periods=True), "owned")
+        links = cadastre.build_nexo_bc(owned)
+        joined = cadastre.build_no_agricola(owned, cadastre.building_totals(lines))
+        publish(lines, "construcciones", root, root, PERIODS)
+        publish(stage.keep(joined, "joined"), "no_agricola", root, root, PERIODS)
+        publish(links, "nexo_bc", root, root, PERIODS)
+        again = links.filter(F.col("periodo") == PERIODS[0])
+        publish(again, "nexo_bc", root, root, PERIODS[:1])
     return root
 
 
@@ -452,20 +474,16 @@ def empty_period(spark, sf_dir):
 @query
 def table_round_trip(spark, sf_dir):
     """The sale table overwritten whole and read back through the catalog."""
-    root = scratch_folder(spark, "table")
-    publish(_final(spark, sf_dir), "precios_transaccionales", root, root)
-    name = "precios_transaccionales"
-    register = catalog.register_table(spark, "predial_ida_vuelta", name, f"{root}/{name}")
-    return spark.sql(f"SELECT * FROM {register}")
+    path = _publish_final(spark, sf_dir, "table")
+    name = catalog.register_table(spark, "predial_ida_vuelta", "precios_transaccionales", path)
+    return spark.sql(f"SELECT * FROM {name}")
 
 
 @query
 def sql_head(spark, sf_dir):
-    root = scratch_folder(spark, "head")
-    publish(_final(spark, sf_dir), "precios_transaccionales", root, root)
-    name = "precios_transaccionales"
-    catalog.register_table(spark, "predial_cabeza", name, f"{root}/{name}")
-    return catalog.head(spark, "predial_cabeza", name)
+    path = _publish_final(spark, sf_dir, "head")
+    catalog.register_table(spark, "predial_cabeza", "precios_transaccionales", path)
+    return catalog.head(spark, "predial_cabeza", "precios_transaccionales")
 
 
 @query
@@ -497,8 +515,6 @@ def sql_counts(spark, sf_dir):
 
 @query
 def sql_pending(spark, sf_dir):
-    root = scratch_folder(spark, "pending")
-    name = "precios_transaccionales"
-    publish(_final(spark, sf_dir), name, root, root)
-    catalog.register_table(spark, "predial_pendientes", name, f"{root}/{name}")
+    path = _publish_final(spark, sf_dir, "pending")
+    catalog.register_table(spark, "predial_pendientes", "precios_transaccionales", path)
     return catalog.pending_count(spark, "predial_pendientes")
