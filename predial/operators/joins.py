@@ -20,12 +20,14 @@ def join_totals(left: DataFrame, totals: DataFrame, keys: Sequence[str]) -> Data
     partition at run time, but only if both join inputs come straight from a
     shuffle; an aggregate reused as join input prevents it. The redundant hash key
     asks for a shuffle of the (already small) totals and so keeps splitting possible.
+    It comes first because the merge sorts by the first key's leading bytes: a hash
+    tells rows apart at once where a period, the same in most rows, would not.
     A totals side under the broadcast threshold becomes a broadcast join as usual.
     """
     lane = "_lane"
     hashed = F.xxhash64(*keys)
     joined = left.withColumn(lane, hashed).join(
-        totals.withColumn(lane, hashed), [*keys, lane], "left"
+        totals.withColumn(lane, hashed), [lane, *keys], "left"
     )
     return joined.drop(lane)
 

@@ -19,7 +19,12 @@ from predial.contracts import (
 )
 from predial.plans import cadastre, lookups, prices, profile
 from predial.plans.publish import publish
-from predial.sinks.guards import check_destination, check_not_empty
+from predial.sinks.guards import (
+    check_destination,
+    check_measures,
+    check_not_empty,
+    measure,
+)
 from predial.sinks.staging import Stage
 from predial.sinks.writers import overwrite_table
 from predial.sources.text import (
@@ -93,17 +98,20 @@ def run_cadastre(
         buildings = stage.keep(buildings, "buildings")
         properties = stage.keep(properties, "properties")
         totals = cadastre.building_totals(buildings, positive_years)
-        no_agricola = stage.keep(cadastre.build_no_agricola(properties, totals), "no_agricola")
-        # Guards of the two required tables come before the first overwrite.
+        # The totals neither add nor drop a property, so its figures are known beforehand
+        # and the join runs once, straight into its table.
+        known = measure(properties, "no_agricola", periods)
+        # Guards of the two required sources come before the first overwrite.
         check_not_empty(buildings, "construcciones")
-        check_not_empty(properties, "no_agricola")
+        check_measures(known, "no_agricola", periods)
         tables = {
-            "construcciones": buildings,
-            "no_agricola": no_agricola,
-            "nexo_bc": cadastre.build_nexo_bc(properties),
+            "construcciones": (buildings, None),
+            "no_agricola": (cadastre.build_no_agricola(properties, totals), known),
+            "nexo_bc": (cadastre.build_nexo_bc(properties), None),
         }
         return {
-            name: publish(df, name, root, agreed_root, periods) for name, df in tables.items()
+            name: publish(df, name, root, agreed_root, periods, figures)
+            for name, (df, figures) in tables.items()
         }
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -21,20 +21,26 @@ MAY_BE_EMPTY = ("nexo_bc",)
 
 
 def publish(
-    df: DataFrame, table: str, root: str, agreed_root: str, periods: Sequence[str] = ()
+    df: DataFrame,
+    table: str,
+    root: str,
+    agreed_root: str,
+    periods: Sequence[str] = (),
+    figures: Mapping[str, int] | None = None,
 ) -> int:
     """Replace a table, or only `periods` of it, and return the rows written.
 
     Nothing is overwritten unless schema, periods, emptiness, finite floats and link
     rules hold. `df` is evaluated for these guards and again for the write, so a costly
-    frame should come from a `Stage`.
+    frame should come from a `Stage`; or the caller passes the `figures` of a frame known
+    to have the same rows, and `df` is evaluated for the write only.
     """
     spark, schema = df.sparkSession, SCHEMAS[table]
     path = f"{check_destination(root, agreed_root)}/{table}"
     if (table in PERIOD_TABLES) != bool(periods):
         raise ContractError(f"{table}: periods {list(periods)} given")
     check_schema(df, schema, table)
-    figures = measure(df, table, periods)
+    figures = figures or measure(df, table, periods)
     check_measures(figures, table, periods, table in MAY_BE_EMPTY)
     if not periods:
         overwrite_table(df, path)
