@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from predial.contracts import ContractError
+
 # 400,000 rows of (date, double) take about 20 MB as a hash relation, and a
 # thousand years have 365,000 days.
 BROADCAST_ROWS = 400_000
@@ -24,6 +26,10 @@ def join_totals(left: DataFrame, totals: DataFrame, keys: Sequence[str]) -> Data
     tells rows apart at once where a period, the same in most rows, would not.
     A totals side under the broadcast threshold becomes a broadcast join as usual.
     """
+    for key in keys:
+        kinds = left.schema[key].dataType, totals.schema[key].dataType
+        if kinds[0] != kinds[1]:  # equal values of different types hash differently
+            raise ContractError(f"join key {key} is {kinds[0]} and {kinds[1]}")
     lane = "_lane"
     hashed = F.xxhash64(*keys)
     joined = left.withColumn(lane, hashed).join(

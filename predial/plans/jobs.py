@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +19,7 @@ from predial.contracts import (
 )
 from predial.plans import cadastre, lookups, prices, profile
 from predial.plans.publish import publish
-from predial.sinks.guards import (
-    check_destination,
-    check_measures,
-    check_not_empty,
-    measure,
-)
+from predial.sinks.guards import check_destination, check_not_empty, measure
 from predial.sinks.staging import Stage
 from predial.sinks.writers import overwrite_table
 from predial.sources.text import (
@@ -36,12 +31,6 @@ from predial.sources.text import (
 )
 
 
-def _source(spark: SparkSession, base: str, table: str) -> DataFrame:
-    path = f"{base.rstrip('/')}/{table}.csv"
-    df = read_headered(spark, path, POSITIONAL_NAMES.get(table))
-    return require_columns(df, SCHEMAS[table].names, table)
-
-
 def run_profile(
     spark: SparkSession,
     path: str,
@@ -98,21 +87,15 @@ def run_cadastre(
         buildings = stage.keep(buildings, "buildings")
         properties = stage.keep(properties, "properties")
         totals = cadastre.building_totals(buildings, positive_years)
-        # The totals neither add nor drop a property, so its figures are known beforehand
-        # and the join runs once, straight into its table.
-        known = measure(properties, "no_agricola", periods)
-        # Guards of the two required sources come before the first overwrite.
-        check_not_empty(buildings, "construcciones")
-        check_measures(known, "no_agricola", periods)
         tables = {
-            "construcciones": (buildings, None),
-            "no_agricola": (cadastre.build_no_agricola(properties, totals), known),
-            "nexo_bc": (cadastre.build_nexo_bc(properties), None),
-        }
-        return {
-            name: publish(df, name, root, agreed_root, periods, figures)
-            for name, (df, figures) in tables.items()
+            "construcciones": buildings,
+            "no_agricola": cadastre.build_no_agricola(properties, totals),
+            "nexo_bc": cadastre.build_nexo_bc(properties),
         }
+        # The totals neither add nor drop a property, so the figures of the join are
+        # known before it runs, and it runs once, straight into its table.
+        known = {"no_agricola": measure(properties, "no_agricola", periods)}
+        return publish(tables, root, agreed_root, periods, known)
 
 
 def run_prices(
@@ -123,24 +106,34 @@ def run_prices(
     strict_key: bool = False,
     clp_cap: float | None = prices.CLP_CAP,
     uf_cap: float | None = prices.UF_CAP,
+    paths: Mapping[str, str] | None = None,
+    names: Mapping[str, Sequence[str]] = POSITIONAL_NAMES,
 ) -> tuple[dict[str, int], dict[str, int]]:
-    """Six tables; returns the rows written and the audit of the sales."""
+    """Six tables; returns the rows written and the audit of the sales.
+
+    Sources are `<base>/<table>.csv` unless `paths` says otherwise; `names` renames
+    headers by position, and a table without an entry keeps its own header.
+    """
     check_destination(root, agreed_root)
+
+    def source(table: str) -> DataFrame:
+        path = (paths or {}).get(table, f"{base.rstrip('/')}/{table}.csv")
+        df = read_headered(spark, path, names.get(table))
+        return require_columns(df, SCHEMAS[table].names, table)
+
     with Stage(spark, "prices") as stage:
-        rates = stage.keep(prices.type_rates(_source(spark, base, "precios_uf")), "rates")
+        rates = stage.keep(prices.type_rates(source("precios_uf")), "rates")
         dates = prices.check_rates(rates)
-        raw = _source(spark, base, "precios_transaccionales")
+        raw = source("precios_transaccionales")
         typed = stage.keep(prices.type_sales(raw, strict_key), "sales")
         reference = prices.rate_reference(rates)
         final = prices.finish_sales(typed, reference, dates, clp_cap, uf_cap)
-        final = stage.keep(final, "final")
-
         audit = prices.sales_audit(typed, reference, dates, clp_cap, uf_cap)
         figures = audit.first().asDict()
 
+        # Sales and rates are narrow over staged tables; lookups would be parsed twice.
         tables = {"precios_transaccionales": final, "precios_uf": prices.build_uf(rates)}
-        for name in LOOKUP_TABLES:
-            lookup = lookups.build_lookup(_source(spark, base, name), name)
-            tables[name] = stage.keep(lookup, name)
-        written = {name: publish(df, name, root, agreed_root) for name, df in tables.items()}
+        for table in LOOKUP_TABLES:
+            tables[table] = stage.keep(lookups.build_lookup(source(table), table), table)
+        written = publish(tables, root, agreed_root)
     return written, figures

@@ -1,4 +1,4 @@
-"""Guard, write and verify one table."""
+"""Guard, write and verify tables."""
 
 from __future__ import annotations
 
@@ -19,29 +19,29 @@ from predial.sinks.writers import overwrite_periods, overwrite_table, replace_em
 
 MAY_BE_EMPTY = ("nexo_bc",)
 
+Figures = Mapping[str, int]
 
-def publish(
-    df: DataFrame,
-    table: str,
-    root: str,
-    agreed_root: str,
-    periods: Sequence[str] = (),
-    figures: Mapping[str, int] | None = None,
-) -> int:
-    """Replace a table, or only `periods` of it, and return the rows written.
 
-    Nothing is overwritten unless schema, periods, emptiness, finite floats and link
-    rules hold. `df` is evaluated for these guards and again for the write, so a costly
-    frame should come from a `Stage`; or the caller passes the `figures` of a frame known
-    to have the same rows, and `df` is evaluated for the write only.
+def inspect(
+    df: DataFrame, table: str, periods: Sequence[str] = (), known: Figures | None = None
+) -> Figures:
+    """Refuse a frame whose schema, periods, size, floats or links break the contract.
+
+    One pass over `df`; none when the caller has the figures already.
     """
-    spark, schema = df.sparkSession, SCHEMAS[table]
-    path = f"{check_destination(root, agreed_root)}/{table}"
     if (table in PERIOD_TABLES) != bool(periods):
         raise ContractError(f"{table}: periods {list(periods)} given")
-    check_schema(df, schema, table)
-    figures = figures or measure(df, table, periods)
+    check_schema(df, SCHEMAS[table], table)
+    figures = known or measure(df, table, periods)
     check_measures(figures, table, periods, table in MAY_BE_EMPTY)
+    return figures
+
+
+def replace(
+    df: DataFrame, table: str, root: str, periods: Sequence[str], figures: Figures
+) -> int:
+    """Replace the table, or only `periods` of it; read back and compare."""
+    spark, path = df.sparkSession, f"{root}/{table}"
     if not periods:
         overwrite_table(df, path)
         return check_written_table(spark, path, table, figures["rows"])
@@ -53,3 +53,24 @@ def publish(
             replace_empty_period(df, path, period)
         check_written_period(spark, path, table, period, rows)
     return figures["rows"]
+
+
+def publish(
+    tables: Mapping[str, DataFrame],
+    root: str,
+    agreed_root: str,
+    periods: Sequence[str] = (),
+    known: Mapping[str, Figures] | None = None,
+) -> dict[str, int]:
+    """Replace tables and return the rows written to each.
+
+    Every table is inspected before the first one is overwritten. A frame is evaluated
+    for that and again for its write, so a costly one should come from a `Stage`; or the
+    caller passes the figures of a frame `known` to have the same rows, and it is
+    evaluated for the write only.
+    """
+    root = check_destination(root, agreed_root)
+    figures = {
+        name: inspect(df, name, periods, (known or {}).get(name)) for name, df in tables.items()
+    }
+    return {name: replace(df, name, root, periods, figures[name]) for name, df in tables.items()}

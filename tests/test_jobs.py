@@ -3,7 +3,7 @@ import os
 import pytest
 
 from conftest import SF, rows
-from predial.contracts import RAW_COMMUNES, RAW_USES, SCHEMAS, ContractError
+from predial.contracts import RAW_COMMUNES, RAW_SALES, RAW_USES, SCHEMAS, ContractError
 from predial.plans import cadastre, jobs, prices
 from predial.sources.tables import read_period
 from predial.sources.text import tidy_text
@@ -52,6 +52,18 @@ def test_prices_job_writes_nothing_when_rates_contradict(spark, base, root):
     assert not os.path.exists(root)
 
 
+def test_prices_job_with_other_paths_and_plain_headers(spark, base, root, tmp_path):
+    plain = {t: str(tmp_path / t) for t in ("precios_transaccionales", "codigo_destino")}
+    write_text(views.raw_sales(spark, SF).select("precio_uf", *RAW_SALES[:-1]), plain["precios_transaccionales"], header=True)
+    write_text(views.raw_uses(spark, SF), plain["codigo_destino"], header=True)
+    names = {"codigo_comuna_region": RAW_COMMUNES}
+    moved, _ = jobs.run_prices(spark, base, root, root, paths=plain, names=names)
+    usual, _ = jobs.run_prices(spark, base, root + "2", root + "2")
+    assert moved == usual
+    both = [rows(spark.read.parquet(f"{r}/precios_transaccionales")) for r in (root, root + "2")]
+    assert both[0] == both[1]
+
+
 def test_cadastre_job(spark, root):
     base = write_cadastre(spark, SF)
     both = jobs.run_cadastre(spark, base, root, root, PERIODS)

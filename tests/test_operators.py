@@ -87,6 +87,12 @@ def test_hot_key_of_the_totals_join_is_split_at_run_time(spark, small_partitions
     assert "skew=true" not in plain._jdf.queryExecution().executedPlan().toString()
 
 
+def test_totals_join_wants_equal_key_types(spark):
+    totals = spark.range(3).selectExpr("id as key", "1 as area")
+    with pytest.raises(ValueError):
+        joins.join_totals(hot_sales(spark), totals, ["key"])
+
+
 def test_sample_is_bounded_and_repeats(spark):
     df = spark.range(0, 50_000, 1, 4)
     first, second = (sampling.capped_sample(df, 1000, 42) for _ in range(2))

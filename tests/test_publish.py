@@ -4,11 +4,17 @@ import pytest
 
 from conftest import rows
 from predial.contracts import SCHEMAS, ContractError
-from predial.plans.publish import publish
+from predial.plans import publish as publishing
 from predial.sinks import catalog, guards
 from predial.sinks.staging import Stage
 from predial.sources.tables import read_period
 
+
+
+def publish(df, table, root, agreed_root, periods=()):
+    return publishing.publish({table: df}, root, agreed_root, periods)[table]
+
+
 LINKS = SCHEMAS["nexo_bc"]
 OLD, NEW = "2025_2", "2026_1"
 
@@ -65,6 +71,22 @@ def test_bad_links_are_refused(spark, root, wrong):
         links(spark, (2, NEW), **wrong), "nexo_bc", root, root, [NEW]))
 
 
+def test_all_tables_are_inspected_before_any_is_written(spark, root):
+    tables = {
+        "codigo_material": spark.createDataFrame([("A", "a")], SCHEMAS["codigo_material"]),
+        "precios_uf": spark.createDataFrame([], SCHEMAS["precios_uf"]),
+    }
+    with pytest.raises(ContractError, match="precios_uf"):
+        publishing.publish(tables, root, root)
+    assert not os.path.exists(root)
+
+
+def test_known_figures_are_compared_with_what_was_written(spark, root):
+    figures = {"rows": 2, f"period {NEW}": 2, "bad links": 0}
+    with pytest.raises(ContractError, match="1 rows read back, 2 written"):
+        publishing.publish({"nexo_bc": links(spark, (1, NEW))}, root, root, [NEW], {"nexo_bc": figures})
+
+
 def test_wrong_schema_is_refused(spark, root):
     unchanged(spark, root, lambda: publish(
         links(spark, (2, NEW)).select(*reversed(LINKS.names)), "nexo_bc", root, root, [NEW]))

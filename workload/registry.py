@@ -66,7 +66,7 @@ def _publish_final(spark, sf_dir, label):
     """The finished sale table as a published folder; its rows are computed once."""
     root, name = scratch_folder(spark, label), "precios_transaccionales"
     with Stage(spark, label) as stage:
-        publish(stage.keep(_final(spark, sf_dir), name), name, root, root)
+        publish({name: stage.keep(_final(spark, sf_dir), name)}, root, root)
     return f"{root}/{name}"
 
 
@@ -440,11 +440,14 @@ def publish_cadastre(spark: SparkSession, sf_dir: str) -> str:
         owned = stage.keep(_properties(spark, sf_dir, periods=True), "owned")
         links = cadastre.build_nexo_bc(owned)
         joined = cadastre.build_no_agricola(owned, cadastre.building_totals(lines))
-        publish(lines, "construcciones", root, root, PERIODS)
-        publish(stage.keep(joined, "joined"), "no_agricola", root, root, PERIODS)
-        publish(links, "nexo_bc", root, root, PERIODS)
+        tables = {
+            "construcciones": lines,
+            "no_agricola": stage.keep(joined, "joined"),
+            "nexo_bc": links,
+        }
+        publish(tables, root, root, PERIODS)
         again = links.filter(F.col("periodo") == PERIODS[0])
-        publish(again, "nexo_bc", root, root, PERIODS[:1])
+        publish({"nexo_bc": again}, root, root, PERIODS[:1])
     return root
 
 
@@ -453,9 +456,9 @@ def round_trip(spark, sf_dir):
     """Written, one period replaced, and both read back."""
     path = f"{scratch_folder(spark, 'round')}"
     links = cadastre.build_nexo_bc(_properties(spark, sf_dir, periods=True))
-    publish(links, "nexo_bc", path, path, PERIODS)
+    publish({"nexo_bc": links}, path, path, PERIODS)
     first = links.filter(F.col("periodo") == PERIODS[0])
-    publish(first, "nexo_bc", path, path, PERIODS[:1])
+    publish({"nexo_bc": first}, path, path, PERIODS[:1])
     parts = [read_period(spark, f"{path}/nexo_bc", "nexo_bc", p) for p in PERIODS]
     return check_schema(parts[0].unionByName(parts[1]), SCHEMAS["nexo_bc"], "nexo_bc")
 
@@ -465,8 +468,8 @@ def empty_period(spark, sf_dir):
     """One period cleared, the other left alone."""
     path = f"{scratch_folder(spark, 'empty')}"
     links = cadastre.build_nexo_bc(_properties(spark, sf_dir, periods=True))
-    publish(links, "nexo_bc", path, path, PERIODS)
-    publish(links.limit(0), "nexo_bc", path, path, PERIODS[:1])
+    publish({"nexo_bc": links}, path, path, PERIODS)
+    publish({"nexo_bc": links.filter(F.lit(False))}, path, path, PERIODS[:1])
     parts = [read_period(spark, f"{path}/nexo_bc", "nexo_bc", p) for p in PERIODS]
     return parts[0].unionByName(parts[1])
 
