@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,9 +28,25 @@ def blank_to_null(c: Column | str) -> Column:
     return F.nullif(trimmed(c), F.lit(""))
 
 
+# Inside `try_*` functions text that cannot be read costs an exception, 5 to 15
+# microseconds against 0.1 for text that can. The conditions below keep dirty text away
+# from them; they turn away no text that would have given a usable value.
+
+
+def _may_be_number(text: Column) -> Column:
+    """Starts with white space, a sign, a point or a digit. Also keeps out empty text."""
+    return F.ascii(text).between(1, ord("9"))
+
+
+def _fits_int(value: Column) -> Column:
+    """Inside the 32-bit range once the fraction is cut off; false for NaN."""
+    return (value > -2147483649.0) & (value < 2147483648.0)
+
+
 def as_double(c: Column | str) -> Column:
-    """Any number Spark can read, NaN and infinities included."""
-    return trimmed(c).try_cast("double")
+    """Any finite number Spark can read. Words, also those for NaN and infinity, are null."""
+    text = trimmed(c)
+    return F.when(_may_be_number(text), text.try_cast("double"))
 
 
 def finite(value: Column) -> Column:
@@ -42,8 +60,21 @@ def to_number(c: Column | str) -> Column:
 
 def to_int(c: Column | str, strict: bool = False) -> Column:
     """32-bit integer. Lenient: `12.0` is 12 and `12.7` truncates to 12; strict: both null."""
-    return trimmed(c).try_cast("int") if strict else as_double(c).try_cast("int")
+    value = as_double(c)
+    if not strict:
+        return F.when(_fits_int(value), value.try_cast("int"))
+    text = trimmed(c)
+    whole = text.rlike(r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$")
+    return F.when(whole & _fits_int(value), text.try_cast("int"))
 
 
 def to_date(c: Column | str, pattern: str) -> Column:
-    return F.try_to_date(trimmed(c), pattern)
+    text = trimmed(c)
+    date = F.try_to_date(text, pattern)
+    if not re.fullmatch(r"(yyyy|MM|dd|[^A-Za-z'])*", pattern):
+        return date
+    # Fixed width, except that a signed year may have more digits. Five are read; years
+    # of six and more would overflow Spark's timestamps and fail the job.
+    extra = F.length(text) - len(pattern)
+    signed = (text.startswith("+") | text.startswith("-")) & extra.between(1, 2)
+    return F.when((extra == 0) | signed, date)

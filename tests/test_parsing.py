@@ -23,6 +23,20 @@ NUMBERS = [
     ("007", 7, 7, 7.0),
     ("", None, None, None),
     ("abc", None, None, None),
+    ("inf", None, None, None),
+    ("+Infinity", None, None, None),
+    ("+5", 5, 5, 5.0),
+    ("-5", -5, -5, -5.0),
+    (".5", None, 0, 0.5),
+    ("\n8\t", 8, 8, 8.0),
+    ("2147483647", 2147483647, 2147483647, 2147483647.0),
+    ("2147483648", None, None, 2147483648.0),
+    ("2147483647.5", None, 2147483647, 2147483647.5),
+    ("-2147483648", -2147483648, -2147483648, -2147483648.0),
+    ("-2147483649", None, None, -2147483649.0),
+    ("1e400", None, None, None),
+    ("$5", None, None, None),
+    ("5 5", None, None, None),
     (None, None, None, None),
 ]
 
@@ -48,6 +62,41 @@ def test_numbers(spark):
     assert [tuple(r)[1:] for r in found] == [r[1:] for r in NUMBERS]
 
 
+def test_guarded_reading_equals_plain_try_functions(spark):
+    """The conditions in front of the casts must not change a single result."""
+    parts = ["", " ", "\t", "+", "-", "1", "12.7", "e3", "d", "0x1p3", "Infinity", "NaN", "x", "9" * 11, "é"]
+    texts = [a + b + c for a in parts for b in parts for c in parts]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").distinct()
+    trim = F.trim("t")
+    number = trim.try_cast("double")
+    plain = {
+        "int": (number.try_cast("int"), parsing.to_int("t")),
+        "strict": (trim.try_cast("int"), parsing.to_int("t", strict=True)),
+        "number": (F.when(F.abs(number) < float("inf"), number), parsing.to_number("t")),
+    }
+    for name, (expected, found) in plain.items():
+        wrong = df.filter(~expected.eqNullSafe(found)).select("t", expected, found)
+        assert wrong.collect() == [], name
+
+
+@pytest.mark.parametrize("pattern", ["yyyyMMdd", "yyyy-MM-dd", "d/M/yyyy"])
+def test_guarded_dates_equal_plain_try_to_timestamp(spark, pattern):
+    parts = ["", " ", "+", "-", "2003", "02", "07", "21", "30", "7", "/", "-", "x", "1", "00"]
+    texts = {a + b + c + d + e for a in parts for b in parts for c in parts
+             for d in ("07", "-07-", "7", "/", "") for e in ("21", "30", "2003", " ", "x")}
+    # Spark itself fails on signed years of many digits.
+    endless = {t for t in texts if t.strip()[:1] in ("+", "-") and len(t.strip()) > len(pattern) + 2}
+    far = spark.createDataFrame([(t,) for t in endless], "t string")
+    if pattern != "d/M/yyyy":
+        assert far.filter(parsing.to_date("t", pattern).isNotNull()).isEmpty()
+    df = spark.createDataFrame([(t,) for t in texts - endless], "t string")
+    expected = F.try_to_timestamp(F.trim("t"), F.lit(pattern)).cast("date")
+    found = parsing.to_date("t", pattern)
+    wrong = df.filter(~expected.eqNullSafe(found)).select("t", expected.cast("string"))
+    assert wrong.collect() == []
+    assert not df.filter(found.isNotNull()).isEmpty()
+
+
 def test_dates(spark):
     df = spark.createDataFrame([(n, r[0]) for n, r in enumerate(DATES)], "n int, t string")
     found = df.select("n", parsing.to_date("t", "yyyyMMdd")).orderBy("n").collect()
