@@ -101,10 +101,6 @@ def type_sales(
     )
 
 
-def usable(sales: DataFrame) -> DataFrame:
-    return sales.filter(usable_sale())
-
-
 def cap_prices(
     sales: DataFrame, clp_cap: float | None = CLP_CAP, uf_cap: float | None = UF_CAP
 ) -> DataFrame:
@@ -122,6 +118,18 @@ def attach_rates(sales: DataFrame, reference: DataFrame, dates: int) -> DataFram
     return join_lookup(sales, reference, "fecha_escritura", "date", dates)
 
 
+def keep_usable(attached: DataFrame) -> DataFrame:
+    """Drop sales without property key or date, after the rate was attached.
+
+    A plain condition would be pushed below the join and below the removal of copies,
+    down to the text, and every key and date would be read twice. Comparing with the
+    rate (1 or 0 against at most one half) leaves it above the join, where it looks at
+    values already read.
+    """
+    rate = F.coalesce(F.abs(F.col("uf")), F.lit(0.0))
+    return attached.filter(usable_sale().cast("int") > F.least(rate, F.lit(0.5)))
+
+
 def impute(sales: DataFrame) -> DataFrame:
     """Fill either price from the other one; both read the prices as they came in."""
     clp, uf, rate = F.col("precio_clp"), F.col("precio_uf"), F.col("uf")
@@ -141,8 +149,8 @@ def finish_sales(
     clp_cap: float | None = CLP_CAP,
     uf_cap: float | None = UF_CAP,
 ) -> DataFrame:
-    capped = cap_prices(usable(typed), clp_cap, uf_cap)
-    return impute(attach_rates(capped, reference, dates))
+    attached = attach_rates(cap_prices(typed, clp_cap, uf_cap), reference, dates)
+    return impute(keep_usable(attached))
 
 
 def build_precios(
@@ -154,8 +162,8 @@ def build_precios(
 ) -> DataFrame:
     """Clean, completed sales from raw sales and typed rates.
 
-    One shuffle, for the copies; filter, caps, rate and imputation follow it without
-    another. The rates are checked first, which also tells their size for the join.
+    One shuffle, for the copies; reading, caps, rate, filter and imputation follow it
+    without another. The rates are checked first, which also tells their size for the join.
     """
     dates = check_rates(rates)
     typed = type_sales(raw, strict_key)
@@ -204,6 +212,10 @@ def _pending(no_clp: Column, no_uf: Column) -> dict[str, Column]:
     }
 
 
+def _among_usable(conditions: dict[str, Column]) -> dict[str, Column]:
+    return {name: usable_sale() & condition for name, condition in conditions.items()}
+
+
 def clean_audit(typed: DataFrame) -> DataFrame:
     """On `type_sales`: what will be dropped and what carries no usable price."""
     return tally(typed, _cleaning())
@@ -211,12 +223,12 @@ def clean_audit(typed: DataFrame) -> DataFrame:
 
 def cap_audit(typed: DataFrame, clp_cap: float = CLP_CAP, uf_cap: float = UF_CAP) -> DataFrame:
     """On `type_sales`: prices above the caps among the usable rows."""
-    return tally(usable(typed), _capping(clp_cap, uf_cap))
+    return tally(typed, _among_usable(_capping(clp_cap, uf_cap)))
 
 
 def impute_audit(attached: DataFrame) -> DataFrame:
-    """On `attach_rates`: what can and what cannot be filled in."""
-    return tally(attached, _imputing(F.col("precio_clp"), F.col("precio_uf")))
+    """On capped sales with rates: what can and what cannot be filled in, usable rows only."""
+    return tally(attached, _among_usable(_imputing(F.col("precio_clp"), F.col("precio_uf"))))
 
 
 def pending_audit(final: DataFrame) -> DataFrame:
@@ -238,5 +250,4 @@ def sales_audit(
     unfilled_clp = clp.isNull() & (uf.isNull() | no_rate)
     unfilled_uf = uf.isNull() & (clp.isNull() | no_rate)
     later = _capping(clp_cap, uf_cap) | _imputing(clp, uf) | _pending(unfilled_clp, unfilled_uf)
-    kept = {name: usable_sale() & condition for name, condition in later.items()}
-    return tally(attach_rates(typed, reference, dates), _cleaning() | kept)
+    return tally(attach_rates(typed, reference, dates), _cleaning() | _among_usable(later))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from predial.contracts import CLP_CAP, RAW_SALES, SCHEMAS, UF_CAP, ContractError
+from predial.functions import rules
 from predial.operators.casting import check_schema
 from predial.plans import prices, profile
 from workload import views
@@ -112,8 +113,10 @@ def test_invariants(spark):
     raw = views.raw_sales(spark, SF)
     typed = prices.type_sales(raw)
     df = prices.type_rates(views.raw_rates(spark, SF))
-    capped = prices.cap_prices(prices.usable(typed))
+    capped = prices.cap_prices(typed)
     attached = prices.attach_rates(capped, prices.rate_reference(df), prices.check_rates(df))
+    kept = prices.keep_usable(attached)
+    assert kept.count() == attached.filter(rules.usable_sale()).count() == 14_367
     assert attached.count() == capped.count()
     kept = attached.select("*", F.col("precio_clp").cast("float").alias("before"))
     assert kept.filter(F.col("before") <= 0).isEmpty()

@@ -105,7 +105,7 @@ def cap_audit(spark, sf_dir):
 def impute_audit(spark, sf_dir):
     rates = _rates(spark, sf_dir)
     dates = prices.check_rates(rates)
-    capped = prices.cap_prices(prices.usable(_typed(spark, sf_dir)))
+    capped = prices.cap_prices(_typed(spark, sf_dir))
     return prices.impute_audit(
         prices.attach_rates(capped, prices.rate_reference(rates), dates)
     )
