@@ -171,6 +171,7 @@ def build_precios(
 
 
 # -- audits ---------------------------------------------------------------------
+# The names of the counters in the four dictionaries below.
 
 
 def _cleaning() -> dict[str, Column]:

@@ -63,6 +63,7 @@ def _blanks() -> dict[str, Column]:
 
 
 def _controls(today: dt.date | None) -> dict[str, Column]:
+    # The names of the counters.
     date = "fecha_escritura"
     found = {
         "rol_faltante": any_of(is_blank(c) for c in ROL),

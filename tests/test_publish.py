@@ -47,6 +47,18 @@ def test_an_empty_period_next_to_a_full_one(spark, root):
     assert (codes(spark, root, OLD), codes(spark, root, NEW)) == ([], [3])
 
 
+def test_several_periods_do_not_scatter_into_small_files(spark, root):
+    df = spark.range(0, 4000, 1, 16).selectExpr(
+        "cast(id as int) as cod_com", "1 as cod_mz", "1 as cod_pr",
+        f"if(id % 2 = 0, '{OLD}', '{NEW}') as periodo",
+        "1 as cod_com_bc", "1 as cod_mz_bc", "1 as cod_pr_bc",
+    )
+    publish(df, "nexo_bc", root, root, [OLD, NEW])
+    for period in (OLD, NEW):
+        files = os.listdir(f"{root}/nexo_bc/periodo={period}")
+        assert len([f for f in files if f.endswith(".parquet")]) == 1
+
+
 def test_period_stays_text(spark, root):
     publish(links(spark, (1, NEW)), "nexo_bc", root, root, [NEW])
     assert dict(spark.read.parquet(f"{root}/nexo_bc").dtypes)["periodo"] == "string"
