@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from predial.llm import exact_dedup, sharding
+from predial.llm import byte_bpe, exact_dedup, sharding
 from predial.llm.support import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,3 +58,16 @@ FROM d, t
 
 
 ORACLES["op8_sharding"] = _sharding_sql()
+
+
+@query
+def op9_byte_bpe(spark, sf_dir):
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
+    decoded = byte_bpe.decode(encoded, path, pattern)
+    return decoded.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
