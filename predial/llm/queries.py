@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from predial.llm import byte_bpe, exact_dedup, sharding
+from predial.llm import byte_bpe, exact_dedup, packing, sharding
 from predial.llm.support import prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,10 @@ def op9_byte_bpe(spark, sf_dir):
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op5_best_fit_packing(spark, sf_dir):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    documents = table(spark, sf_dir, "documents")
+    return packing.pack(documents, path, with_ids=False).drop("ids")

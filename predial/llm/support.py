@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +19,27 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
+PACKAGE = Path(__file__).resolve().parents[1]
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the Python workers this package, unless they are started with its path."""
+    context = spark.sparkContext
+    on_path = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if str(PACKAGE.parent) in on_path or context.applicationId in _shipped:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="predial-code-")) / "predial.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(PACKAGE.rglob("*.py")):
+            out.write(file, file.relative_to(PACKAGE.parent))
+    context.addPyFile(str(archive))  # the driver serves it to the executors
+    _shipped.add(context.applicationId)
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     configure(spark)
+    ship_code(spark)
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark
