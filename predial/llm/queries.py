@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from predial.llm import byte_bpe, exact_dedup, packing, sharding
-from predial.llm.support import prepare, table
+from predial.llm import byte_bpe, exact_dedup, langid, packing, quality, sharding
+from predial.llm.support import crc_of_id, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,3 +78,24 @@ def op5_best_fit_packing(spark, sf_dir):
     path = public_tokenizers.path("word_bpe_49k.json")
     documents = table(spark, sf_dir, "documents")
     return packing.pack(documents, path, with_ids=False).drop("ids")
+
+
+@query
+def op7_quality_classifier(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.pmod(crc_of_id("doc_id"), F.lit(3)) == 1, F.lit(False))
+    weights = quality.train(documents, table(spark, sf_dir, "labels"), teaches=~held_out)
+    scored = quality.with_score(documents.select("doc_id", "text"), weights)
+    predicted = (F.col("score") >= 0.5).cast("int")
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted")
+    )
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.pmod(crc_of_id("doc_id"), F.lit(4)) == 2, F.lit(False))
+    model = langid.train(documents.filter(~held_out))
+    found = langid.identify(documents, *model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
