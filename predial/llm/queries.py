@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from predial.llm import byte_bpe, exact_dedup, langid, packing, quality, sharding
+from predial.llm import byte_bpe, exact_dedup, langid, packing, pii, quality, sharding
 from predial.llm.support import crc_of_id, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +99,20 @@ def op10_language_id(spark, sf_dir):
     model = langid.train(documents.filter(~held_out))
     found = langid.identify(documents, *model)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def _listed(spans: str):
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)))
+
+
+def _count_of(kind: str):
+    return F.size(F.filter("base", lambda s: s.kind == kind)).cast("long")
+
+
+@query
+def op6_personal_data(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents")
+    found = pii.find(documents, pii.train(documents))
+    counts = [_count_of(kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS]
+    base = F.sha2(_listed("base").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, _listed("spans").alias("spans"))
