@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from predial.llm import byte_bpe, exact_dedup, langid, packing, pii, quality, sharding
+from predial.llm import byte_bpe, exact_dedup, jaccard_join, langid, packing, pii, quality, sharding
 from predial.llm.support import crc_of_id, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +116,8 @@ def op6_personal_data(spark, sf_dir):
     counts = [_count_of(kind).alias(f"n_{kind}") for kind in pii.BASE_KINDS]
     base = F.sha2(_listed("base").cast("binary"), 256).alias("base_sha256")
     return found.select("doc_id", *counts, base, _listed("spans").alias("spans"))
+
+
+@query
+def op2_jaccard_join(spark, sf_dir):
+    return jaccard_join.link(table(spark, sf_dir, "documents"), words=4, percent=85)
