@@ -18,7 +18,7 @@ table gives an empty result. Other columns are neither read nor in the way.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,25 +39,33 @@ def _rows(df: DataFrame, doc_id: str, text: str, digest: Digest) -> DataFrame:
         "doc_id",
         "text",
         F.unhex(digest(F.col("text"))).alias("digest"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int").alias("salt"),
+        salt_of("doc_id").alias("salt"),
     )
 
 
-def _winners(rows: DataFrame, smallest: bool) -> DataFrame:
-    """One row per different text: who stays, how many rows, which salts occur."""
+def salt_of(doc_id: str) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(SALTS)).cast("int")
+
+
+def winners_of(rows: DataFrame, smallest: bool, content: Sequence[str] = ("text",)) -> DataFrame:
+    """One row per different content: who stays, how many rows, which salts occur.
+
+    `rows` have doc_id, digest, salt and the columns of the content, which are compared.
+    """
     best = F.min if smallest else F.max
-    salted = rows.groupBy("digest", "salt", "text").agg(
+    salted = rows.groupBy("digest", "salt", *content).agg(
         best("doc_id").alias("keep_id"), F.count("*").alias("group_size")
     )
     bit = F.expr("shiftleft(1L, salt)")
-    return salted.groupBy("digest", "text").agg(
+    return salted.groupBy("digest", *content).agg(
         best("keep_id").alias("keep_id"),
         F.sum("group_size").alias("group_size"),
         F.bit_or(bit).alias("salts"),
     )
 
 
-def _per_salt(winners: DataFrame) -> DataFrame:
+def per_salt(winners: DataFrame) -> DataFrame:
+    """A row for each salt that a winner's rows have, for the join on digest and salt."""
     places = F.filter(
         F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda s: F.getbit("salts", s) == 1
     )
@@ -83,15 +91,15 @@ def mark_copies(
     resolved by a join on the texts themselves.
     """
     rows = _rows(df, doc_id, text, digest)
-    winners = keep(_winners(rows, smallest).drop("text"), "copies")
+    winners = keep(winners_of(rows, smallest).drop("text"), "copies")
     unclear = _unclear(winners)
     light = rows.drop("text") if digest is sha256 else rows
     if unclear.isEmpty():
-        placed = light.join(_per_salt(winners), ["digest", "salt"])
+        placed = light.join(per_salt(winners), ["digest", "salt"])
     else:
-        clear = _per_salt(winners.join(unclear, "digest", "left_anti"))
+        clear = per_salt(winners.join(unclear, "digest", "left_anti"))
         shared = rows.join(unclear, "digest", "left_semi")
-        by_text = _per_salt(_winners(shared, smallest))
+        by_text = per_salt(winners_of(shared, smallest))
         columns = ["digest", "salt", "doc_id", "text", "keep_id", "group_size"]
         placed = rows.join(clear, ["digest", "salt"]).select(*columns).unionByName(
             shared.join(by_text, ["digest", "salt", "text"]).select(*columns)
@@ -109,7 +117,7 @@ def mark_copies(
 def drop_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """`df` with one row of each different text, the one with the largest id; all columns."""
     columns = df.columns
-    winners = keep(_winners(_rows(df, doc_id, text, sha256), False).drop("text"), "copies")
+    winners = keep(winners_of(_rows(df, doc_id, text, sha256), False).drop("text"), "copies")
     mark = fresh(df, "digest")
     nth = fresh(df, "nth")
     stays = winners.select(F.col("digest").alias("stay_digest"), F.col("keep_id").alias("stay_id"))

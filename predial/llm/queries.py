@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from predial.llm import byte_bpe, exact_dedup, jaccard_join, langid, packing, pii, quality, sharding
-from predial.llm.support import crc_of_id, prepare, table
+from predial.llm import byte_bpe, exact_dedup, jaccard_join, langid, packing, pii, quality, sharding, topk_search, warc
+from predial.llm.support import crc_of_id, keep, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -121,3 +121,36 @@ def op6_personal_data(spark, sf_dir):
 @query
 def op2_jaccard_join(spark, sf_dir):
     return jaccard_join.link(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+@query
+def op3_topk_search(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk_search.search(vectors, F.col("vec_id") % 100 == 0)
+
+
+ORACLES["op3_topk_search"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS double)) AS bigint)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+           CAST(list_sum(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2])) AS bigint) AS score
+    FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 100 = 0),
+r AS (
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS integer)
+           AS rank, vec_id, score FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query
+def op4_warc(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    archive = warc.write(pages)
+    records = warc.read_pages(archive, warc.keys_of(pages)).drop("payload")
+    return warc.resolved(keep(records, "read")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
