@@ -1,0 +1,74 @@
+import zlib
+
+import numpy as np
+from edge_cases import TEXTS, documents, no_documents
+from pyspark.sql import functions as F
+
+from predial.llm import langid, queries
+from predial.llm.support import prepare
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_held_out_accuracy(spark):
+    rows = queries.QUERIES["op10_language_id"](spark, SF).collect()
+    truth = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert len(rows) == len(truth)
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1
+    held = [r.lang_pred == truth[r.doc_id] for r in rows if r.held_out]
+    assert np.mean(held) > 0.98
+
+
+def test_counts_add_up_over_tasks(spark):
+    df = prepare(spark).read.parquet(f"{SF}/documents.parquet").limit(60)
+    languages, likelihood = langid.train(df.repartition(5))
+    totals = {name: np.full(langid.CELLS, langid.SMOOTHING) for name in languages}
+    for r in df.collect():
+        totals[r.lang] += langid.trigram_counts(r.text)
+    for i, name in enumerate(languages):
+        assert np.allclose(likelihood[:, i], totals[name] / totals[name].sum())
+
+
+def model(spark):
+    df = prepare(spark).read.parquet(f"{SF}/documents.parquet")
+    return df, *langid.train(df)
+
+
+def test_mixture_of_two_languages(spark):
+    df, languages, likelihood = model(spark)
+    text = {r.lang: r.text[:2000] for r in df.filter("length(text) > 2500").collect()}
+    for a, b in (("en", "fr"), ("de", "es")):
+        shares = langid.language_mixture(text[a] + " " + text[b] + " " + text[b], likelihood)
+        named = {languages[i]: p for i, p in shares.items()}
+        assert set(named) == {a, b} and 0.2 < named[a] < 0.45 and abs(sum(named.values()) - 1) < 1e-6
+    assert list(langid.language_mixture(text["en"], likelihood).values()) == [1.0]
+
+
+def test_expectation_maximisation_never_lowers_the_likelihood():
+    rng = np.random.default_rng(4)
+    likelihood, counts = rng.random((50, 3)), rng.integers(1, 9, 50).astype(float)
+    share, fit = langid.proportions(likelihood, counts)
+    assert np.isclose(share.sum(), 1) and fit >= counts @ np.log(likelihood @ np.full(3, 1 / 3))
+
+
+def test_edges(spark):
+    _, languages, likelihood = model(spark)
+    rows = langid.identify(documents(spark), languages, likelihood).collect()
+    assert len(rows) == len(TEXTS)
+    found = {r.doc_id: (r.lang_pred, r.score) for r in rows if r.doc_id}
+    assert all(found[i] == ("und", 0.0) for i in (5, 6, 7, 13))
+    assert found[1][0] in languages and found[11][0] in languages
+    untaught = langid.train(documents(spark))  # no row has a language
+    assert untaught[0] == []
+    assert {r.lang_pred for r in langid.identify(documents(spark), *untaught).collect()} == {"und"}
+    assert langid.identify(no_documents(spark), languages, likelihood).count() == 0
+
+
+def test_prediction_reads_only_the_text(spark):
+    df, languages, likelihood = model(spark)
+    some = df.limit(30)
+    other = some.withColumns({"lang": F.lit("xx"), "source": F.lit("y")})
+    a, b = (sorted((r.doc_id, r.lang_pred, r.score) for r in
+                   langid.identify(d, languages, likelihood).collect()) for d in (some, other))
+    assert a == b
