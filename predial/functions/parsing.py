@@ -29,24 +29,20 @@ def blank_to_null(c: Column | str) -> Column:
 
 
 # Inside `try_*` functions text that cannot be read costs an exception, 5 to 15
-# microseconds against 0.1 for text that can. The conditions below keep dirty text away
-# from them; they turn away no text that would have given a usable value.
+# microseconds against 0.1 for text that can. Two comparisons with the trimmed text keep
+# blanks and words away: a readable number starts with white space or another control
+# code, a sign, a point or a digit, all of them below the colon. The trimmed text stands
+# in the condition twice, so Spark computes it once and uses it for the reading as well.
 
 
-def _may_be_number(text: Column) -> Column:
-    """Starts with white space, a sign, a point or a digit. Also keeps out empty text."""
-    return F.ascii(text).between(1, ord("9"))
-
-
-def _fits_int(value: Column) -> Column:
-    """Inside the 32-bit range once the fraction is cut off; false for NaN."""
-    return (value > -2147483649.0) & (value < 2147483648.0)
+def _before_words(text: Column) -> Column:
+    return (text > "") & (text < ":")
 
 
 def as_double(c: Column | str) -> Column:
     """Any finite number Spark can read. Words, also those for NaN and infinity, are null."""
     text = trimmed(c)
-    return F.when(_may_be_number(text), text.try_cast("double"))
+    return F.when(_before_words(text), text.try_cast("double"))
 
 
 def finite(value: Column) -> Column:
@@ -60,12 +56,10 @@ def to_number(c: Column | str) -> Column:
 
 def to_int(c: Column | str, strict: bool = False) -> Column:
     """32-bit integer. Lenient: `12.0` is 12 and `12.7` truncates to 12; strict: both null."""
-    value = as_double(c)
     if not strict:
-        return F.when(_fits_int(value), value.try_cast("int"))
-    text = trimmed(c)
-    whole = text.rlike(r"^[\x00-\x20]*[+-]?[0-9]+[\x00-\x20]*$")
-    return F.when(whole & _fits_int(value), text.try_cast("int"))
+        return as_double(c).try_cast("int")
+    text = trimmed(c)  # whole numbers may also have a delete code around them
+    return F.when(_before_words(text) | text.startswith("\x7f"), text.try_cast("int"))
 
 
 def to_date(c: Column | str, pattern: str) -> Column:

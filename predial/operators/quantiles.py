@@ -16,12 +16,14 @@ from predial.contracts import QUARTILE_ERROR, WHISKER
 
 QUARTILES = (0.25, 0.5, 0.75)
 
-# The exact method narrows each quantile down in three steps. A step's cells are few
+# The exact method narrows each quantile down in four steps. A step's cells are few
 # whatever the table size: natural logarithms of doubles span 1,455, so the first step
-# has under 750,000 cells; the second has 2^20 per quantile; and one of those holds at
-# most some 2^24 different doubles, the rows of the third.
+# has under 750,000 cells; the second has 2^20 per quantile; one of those holds at most
+# some 2^24 different doubles, which the third deals to 2^12 cells; and the last sorts the
+# few thousand values of one of them.
 CELLS_PER_LOG_UNIT = 512
 CELLS_PER_RANGE = 1 << 20
+CELLS_PER_CELL = 1 << 12
 
 
 def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -97,19 +99,25 @@ def exact_quantiles(counts: DataFrame, probs: Sequence[float] = QUARTILES) -> Da
     rank = F.greatest(F.ceil(F.col("p") * F.col("total")), F.lit(1))
     first = _holding(coarse, ["precio", "p"], "cell", rank)
 
+    second = _narrowed(counts, first, CELLS_PER_RANGE)
+    third = _narrowed(counts, second, CELLS_PER_CELL)
+    last = _within(counts, third).withColumnRenamed("inside", "rank")
+    found = _holding(last, ["precio", "p"], "valor", F.col("rank"))
+    return found.select("precio", "p", F.col("valor").alias("cuantil"))
+
+
+def _narrowed(counts: DataFrame, picks: DataFrame, cells: int) -> DataFrame:
+    """The picked cells, cut into `cells` each, and of those the ones with the wanted ranks."""
+    extent = (F.sum("n").alias("n"), F.min("valor").alias("low"), F.max("valor").alias("high"))
     span = F.col("high") - F.col("low")
-    place = F.floor((F.col("valor") - F.col("low")) / span * CELLS_PER_RANGE)
+    place = F.floor((F.col("valor") - F.col("low")) / span * cells)
     fine = (
-        _within(counts, first)
+        _within(counts, picks)
         .withColumn("cell", F.when(span > 0, place).otherwise(F.lit(0)))
         .groupBy("precio", "p", "cell")
         .agg(F.first("inside").alias("rank"), *extent)
     )
-    second = _holding(fine, ["precio", "p"], "cell", F.col("rank"))
-
-    last = _within(counts, second).withColumnRenamed("inside", "rank")
-    third = _holding(last, ["precio", "p"], "valor", F.col("rank"))
-    return third.select("precio", "p", F.col("valor").alias("cuantil"))
+    return _holding(fine, ["precio", "p"], "cell", F.col("rank"))
 
 
 def fences(quantiles: DataFrame) -> DataFrame:

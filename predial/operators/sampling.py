@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from predial.contracts import SAMPLE_ROWS, SAMPLE_SEED
 
@@ -12,9 +13,14 @@ def capped_sample(
 ) -> DataFrame:
     """Each row with the same chance, about `max_rows` in all and never more.
 
-    `total` saves the count when the caller has it. The same seed gives the same
-    rows only for the same partitioning.
+    Rows are drawn independently of each other; should that give a few too many, random
+    ones of those drawn go, wherever they lie. `total` saves the count when the caller has
+    it. The same seed gives the same rows only for the same partitioning.
     """
     total = df.count() if total is None else total
     fraction = min(1.0, max_rows / total) if total else 1.0
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed).limit(max_rows)
+    drawn = df.sample(withReplacement=False, fraction=fraction, seed=seed)
+    if fraction == 1.0:
+        return drawn  # no more than `max_rows` rows in the first place
+    order = "_orden"
+    return drawn.withColumn(order, F.rand(seed)).orderBy(order).limit(max_rows).drop(order)

@@ -157,3 +157,19 @@ def test_bad_link_is_the_exact_negation(spark):
     good = df.filter(rules.is_link()).count()
     bad = df.filter(rules.is_bad_link()).count()
     assert (good, bad) == (2, len(cases) - 2)
+
+
+def test_every_code_around_digits_reads_as_the_plain_functions_do(spark):
+    codes = [chr(i) for i in range(256)]
+    texts = [t for c in codes for t in (c, c + "12", "12" + c, c + "12" + c, c + "1.5", "1.5" + c,
+                                        c + "-3", " " + c + "7 ", "1" + c + "2", c + "NaN", c + c + "9")]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    trim = F.trim("t")
+    number = trim.try_cast("double")
+    plain = {
+        "int": (number.try_cast("int"), parsing.to_int("t")),
+        "strict": (trim.try_cast("int"), parsing.to_int("t", strict=True)),
+        "number": (F.when(F.abs(number) < float("inf"), number), parsing.to_number("t")),
+    }
+    for name, (expected, found) in plain.items():
+        assert df.filter(~expected.eqNullSafe(found)).select("t", expected, found).collect() == [], name
