@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from predial.contracts import ContractError
 
@@ -20,6 +20,12 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
 
 
+def conform_marked(df: DataFrame, schema: StructType, mark: str) -> DataFrame:
+    """`conform`, and the text column `mark` if `df` has it."""
+    extra = [StructField(mark, StringType())] if mark in df.columns else []
+    return conform(df, StructType([*schema.fields, *extra]))
+
+
 def check_schema(df: DataFrame, schema: StructType, label: str) -> DataFrame:
     """Names, types and order must match; nullability may differ. No job."""
     expected = [(f.name, f.dataType.simpleString()) for f in schema]

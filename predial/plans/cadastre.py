@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from predial.contracts import COMMON_PROPERTY, PERIOD, ROL, SCHEMAS, subset
 from predial.functions.rules import is_link
-from predial.operators.casting import conform
+from predial.operators.casting import conform, conform_marked
 from predial.operators.joins import join_totals
-from predial.sources.text import check_period, require_columns
+from predial.sources.text import WIDTH, check_period, require_columns
 
 KEY = (PERIOD, *ROL)
 TOTALS = ("superficie_total_construcciones", "ano_construccion")
@@ -30,11 +30,12 @@ def with_period(df: DataFrame, period: str) -> DataFrame:
 def build_construcciones(raw: DataFrame) -> DataFrame:
     """Every building line, strictly typed."""
     schema = SCHEMAS["construcciones"]
-    return conform(require_columns(raw, schema.names, "construcciones"), schema)
+    return conform_marked(require_columns(raw, schema.names, "construcciones"), schema, WIDTH)
 
 
 def type_properties(raw: DataFrame) -> DataFrame:
-    return conform(require_columns(raw, PROPERTIES.names, "no_agricola"), PROPERTIES)
+    raw = require_columns(raw, PROPERTIES.names, "no_agricola")
+    return conform_marked(raw, PROPERTIES, WIDTH)
 
 
 def building_totals(buildings: DataFrame, positive_only: bool = True) -> DataFrame:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 from predial.contracts import (
     LOOKUP_TABLES,
+    PERIOD,
     POSITIONAL_NAMES,
     RAW_BUILDINGS,
     RAW_PROPERTIES,
@@ -19,14 +19,14 @@ from predial.contracts import (
 )
 from predial.plans import cadastre, lookups, prices, profile
 from predial.plans.publish import publish
-from predial.sinks.guards import check_destination, check_not_empty, measure
+from predial.sinks.guards import check_destination, check_not_empty
 from predial.sinks.staging import Stage
 from predial.sinks.writers import overwrite_table
 from predial.sources.text import (
     check_period,
-    read_buildings,
     read_headered,
-    read_properties,
+    read_periods,
+    refuse_ragged,
     require_columns,
 )
 
@@ -39,18 +39,22 @@ def run_profile(
     exact: bool = False,
     names: Sequence[str] | None = RAW_SALES,
     sample_rows: int = SAMPLE_ROWS,
+    accept_ragged: bool = False,
 ) -> dict[str, DataFrame]:
     """Profile a file of sales and leave each report as a small table under `output`.
 
     The text is parsed once; all reports read the staged columns they need.
     """
-    raw = require_columns(read_headered(spark, path, names), RAW_SALES, path)
+    marked = not accept_ragged
+    raw = require_columns(read_headered(spark, path, names, marked=marked), RAW_SALES, path)
     check_not_empty(raw, path)
     reports = {}
     with Stage(spark, "profile") as stage:
-        values = stage.keep(profile.with_values(raw), "values")
+        values = refuse_ragged(stage.keep(profile.with_values(raw), "values"), path)
         frames = vars(profile.profile_prices(values, today, exact, keep=stage.keep))
-        frames["sample"] = profile.sample_view(values, max_rows=sample_rows)
+        frames["counts"] = counts = stage.keep(frames["counts"], "counts")
+        total = counts.filter("grupo = 'total'").first()["registros"]
+        frames["sample"] = profile.sample_view(values, max_rows=sample_rows, total=total)
         for name, frame in frames.items():
             target = f"{output.rstrip('/')}/{name}"
             overwrite_table(frame, target)
@@ -68,34 +72,37 @@ def run_cadastre(
     property_names: Sequence[str] = RAW_PROPERTIES,
     sep: str = "|",
     positive_years: bool = True,
+    accept_ragged: bool = False,
 ) -> dict[str, int]:
     """Three tables for one or more periods; other periods stay as they are.
 
-    Each text file is parsed once, into staged typed tables that every later step reads.
+    Each text is parsed once, all periods together, into staged typed tables that every
+    later step reads. Lines with too few or too many fields stop the run, which names their
+    number by period, unless `accept_ragged`.
     """
     for period in periods:
         check_period(period)
     check_destination(root, agreed_root)
 
-    def stacked(read, names) -> DataFrame:
-        parts = [cadastre.with_period(read(spark, base, p, names, sep), p) for p in periods]
-        return reduce(DataFrame.unionByName, parts)
+    def read(table: str, names: Sequence[str]) -> DataFrame:
+        return read_periods(spark, base, table, periods, names, sep, marked=not accept_ragged)
 
     with Stage(spark, "cadastre") as stage:
-        buildings = cadastre.build_construcciones(stacked(read_buildings, building_names))
-        properties = cadastre.type_properties(stacked(read_properties, property_names))
-        buildings = stage.keep(buildings, "buildings")
-        properties = stage.keep(properties, "properties")
+        buildings = cadastre.build_construcciones(read("construcciones", building_names))
+        properties = cadastre.type_properties(read("no_agricola", property_names))
+        buildings = refuse_ragged(stage.keep(buildings, "buildings"), "construcciones", PERIOD)
+        properties = refuse_ragged(stage.keep(properties, "properties"), "no_agricola", PERIOD)
         totals = cadastre.building_totals(buildings, positive_years)
         tables = {
             "construcciones": buildings,
             "no_agricola": cadastre.build_no_agricola(properties, totals),
             "nexo_bc": cadastre.build_nexo_bc(properties),
         }
-        # The totals neither add nor drop a property, so the figures of the join are
-        # known before it runs, and it runs once, straight into its table.
-        known = {"no_agricola": measure(properties, "no_agricola", periods)}
-        return publish(tables, root, agreed_root, periods, known)
+        # The join, whose totals may overflow, is computed before anything is replaced; the
+        # other two only leave out columns and rows of what is staged.
+        return publish(
+            tables, root, agreed_root, periods, stored=("construcciones", "nexo_bc")
+        )
 
 
 def run_prices(
@@ -108,6 +115,7 @@ def run_prices(
     uf_cap: float | None = prices.UF_CAP,
     paths: Mapping[str, str] | None = None,
     names: Mapping[str, Sequence[str]] = POSITIONAL_NAMES,
+    accept_ragged: bool = False,
 ) -> tuple[dict[str, int], dict[str, int]]:
     """Six tables; returns the rows written and the audit of the sales.
 
@@ -118,22 +126,30 @@ def run_prices(
 
     def source(table: str) -> DataFrame:
         path = (paths or {}).get(table, f"{base.rstrip('/')}/{table}.csv")
-        df = read_headered(spark, path, names.get(table))
+        df = read_headered(spark, path, names.get(table), marked=not accept_ragged)
         return require_columns(df, SCHEMAS[table].names, table)
 
     with Stage(spark, "prices") as stage:
-        rates = stage.keep(prices.type_rates(source("precios_uf")), "rates")
+
+        def typed(frame: DataFrame, table: str) -> DataFrame:
+            return refuse_ragged(stage.keep(frame, table), table)
+
+        rates = typed(prices.type_rates(source("precios_uf")), "precios_uf")
         dates = prices.check_rates(rates)
         raw = source("precios_transaccionales")
-        typed = stage.keep(prices.type_sales(raw, strict_key), "sales")
-        reference = prices.rate_reference(rates)
-        final = prices.finish_sales(typed, reference, dates, clp_cap, uf_cap)
-        audit = prices.sales_audit(typed, reference, dates, clp_cap, uf_cap)
+        sales = typed(prices.type_sales(raw, strict_key), "precios_transaccionales")
+        reference = stage.keep(prices.rate_reference(rates), "reference")
+        final = prices.finish_sales(sales, reference, dates, clp_cap, uf_cap)
+        audit = prices.sales_audit(
+            sales, reference, dates, clp_cap, uf_cap, for_publishing=True
+        )
         figures = audit.first().asDict()
+        guarded = [c for c in figures if c == "rows" or c.startswith("not finite")]
+        known = {"precios_transaccionales": {c: figures.pop(c) for c in guarded}}
 
-        # Sales and rates are narrow over staged tables; lookups would be parsed twice.
+        # All of them are narrow over staged tables, and none of their casts can fail.
         tables = {"precios_transaccionales": final, "precios_uf": prices.build_uf(rates)}
         for table in LOOKUP_TABLES:
-            tables[table] = stage.keep(lookups.build_lookup(source(table), table), table)
-        written = publish(tables, root, agreed_root)
+            tables[table] = typed(lookups.build_lookup(source(table), table), table)
+        written = publish(tables, root, agreed_root, known=known, stored=tables)
     return written, figures

@@ -21,12 +21,14 @@ from predial.functions.rules import (
     bad_rol,
     bad_sale_date,
     no_price,
+    not_finite,
     positive_up_to,
     usable_sale,
 )
 from predial.operators.casting import conform
 from predial.operators.counting import tally
 from predial.operators.joins import join_lookup
+from predial.sources.text import WIDTH
 
 SALES = SCHEMAS["precios_transaccionales"]
 RATES = SCHEMAS["precios_uf"]
@@ -37,7 +39,8 @@ RATES = SCHEMAS["precios_uf"]
 
 def type_rates(raw: DataFrame, pattern: str = RATE_DATE_FORMAT) -> DataFrame:
     """Date and rate in double precision; bad text is null here and refused by the guard."""
-    return raw.select(to_date("date", pattern).alias("date"), to_number("uf").alias("uf"))
+    mark = [WIDTH] if WIDTH in raw.columns else []
+    return raw.select(to_date("date", pattern).alias("date"), to_number("uf").alias("uf"), *mark)
 
 
 def invalid_rates(rates: DataFrame) -> DataFrame:
@@ -98,6 +101,7 @@ def type_sales(
         *(to_int(c, strict_key).alias(c) for c in ROL),
         to_date("fecha_escritura", pattern).alias("fecha_escritura"),
         *(to_number(c).alias(c) for c in PRICES),
+        *([WIDTH] if WIDTH in raw.columns else []),
     )
 
 
@@ -118,18 +122,6 @@ def attach_rates(sales: DataFrame, reference: DataFrame, dates: int) -> DataFram
     return join_lookup(sales, reference, "fecha_escritura", "date", dates)
 
 
-def keep_usable(attached: DataFrame) -> DataFrame:
-    """Drop sales without property key or date, after the rate was attached.
-
-    A plain condition would be pushed below the join and below the removal of copies,
-    down to the text, and every key and date would be read twice. Comparing with the
-    rate (1 or 0 against at most one half) leaves it above the join, where it looks at
-    values already read.
-    """
-    rate = F.coalesce(F.abs(F.col("uf")), F.lit(0.0))
-    return attached.filter(usable_sale().cast("int") > F.least(rate, F.lit(0.5)))
-
-
 def impute(sales: DataFrame) -> DataFrame:
     """Fill either price from the other one; both read the prices as they came in."""
     clp, uf, rate = F.col("precio_clp"), F.col("precio_uf"), F.col("uf")
@@ -149,8 +141,8 @@ def finish_sales(
     clp_cap: float | None = CLP_CAP,
     uf_cap: float | None = UF_CAP,
 ) -> DataFrame:
-    attached = attach_rates(cap_prices(typed, clp_cap, uf_cap), reference, dates)
-    return impute(keep_usable(attached))
+    usable = cap_prices(typed.filter(usable_sale()), clp_cap, uf_cap)
+    return impute(attach_rates(usable, reference, dates))
 
 
 def build_precios(
@@ -162,8 +154,9 @@ def build_precios(
 ) -> DataFrame:
     """Clean, completed sales from raw sales and typed rates.
 
-    One shuffle, for the copies; reading, caps, rate, filter and imputation follow it
-    without another. The rates are checked first, which also tells their size for the join.
+    One shuffle, for the copies, which rows without key or date don't reach; reading, caps,
+    rate and imputation follow it without another. The rates are checked first, which also
+    tells their size for the join.
     """
     dates = check_rates(rates)
     typed = type_sales(raw, strict_key)
@@ -213,6 +206,17 @@ def _pending(no_clp: Column, no_uf: Column) -> dict[str, Column]:
     }
 
 
+def _publishing(clp: Column, uf: Column) -> dict[str, Column]:
+    """What the guards of the finished table ask: its rows, and prices that overflow."""
+    filled = {
+        "precio_clp": F.coalesce(clp, uf * F.col("uf")),
+        "precio_uf": F.coalesce(uf, clp / F.col("uf")),
+    }
+    return {"rows": F.lit(True)} | {
+        f"not finite {c}": not_finite(value.cast(SALES[c].dataType)) for c, value in filled.items()
+    }
+
+
 def _among_usable(conditions: dict[str, Column]) -> dict[str, Column]:
     return {name: usable_sale() & condition for name, condition in conditions.items()}
 
@@ -243,12 +247,19 @@ def sales_audit(
     dates: int,
     clp_cap: float | None = CLP_CAP,
     uf_cap: float | None = UF_CAP,
+    for_publishing: bool = False,
 ) -> DataFrame:
-    """The four audits above in one row from one scan of `type_sales`."""
+    """The four audits above in one row from one scan of `type_sales`.
+
+    `for_publishing` adds the figures that the guards want of the finished table, so that
+    it needn't be computed for them.
+    """
     clp = positive_up_to(F.col("precio_clp"), clp_cap)
     uf = positive_up_to(F.col("precio_uf"), uf_cap)
     no_rate = F.col("uf").isNull()
     unfilled_clp = clp.isNull() & (uf.isNull() | no_rate)
     unfilled_uf = uf.isNull() & (clp.isNull() | no_rate)
     later = _capping(clp_cap, uf_cap) | _imputing(clp, uf) | _pending(unfilled_clp, unfilled_uf)
+    if for_publishing:
+        later |= _publishing(clp, uf)
     return tally(attach_rates(typed, reference, dates), _cleaning() | _among_usable(later))

@@ -35,6 +35,7 @@ from predial.operators.quantiles import (
     spread,
 )
 from predial.operators.sampling import capped_sample
+from predial.sources.text import WIDTH
 
 
 def value_of(column: str) -> str:
@@ -51,6 +52,7 @@ def with_values(
         *(to_int(c, strict_key).alias(value_of(c)) for c in ROL),
         to_date("fecha_escritura", pattern).alias(value_of("fecha_escritura")),
         *(to_number(c).alias(value_of(c)) for c in PRICES),
+        *([WIDTH] if WIDTH in raw.columns else []),
     )
 
 

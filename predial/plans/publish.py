@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -11,10 +11,11 @@ from predial.operators.casting import check_schema
 from predial.sinks.guards import (
     check_destination,
     check_measures,
-    check_written_period,
+    check_written_periods,
     check_written_table,
     measure,
 )
+from predial.sinks.staging import Stage
 from predial.sinks.writers import overwrite_periods, overwrite_table, replace_empty_period
 
 MAY_BE_EMPTY = ("nexo_bc",)
@@ -45,13 +46,14 @@ def replace(
     if not periods:
         overwrite_table(df, path)
         return check_written_table(spark, path, table, figures["rows"])
+    expected = {period: figures[f"period {period}"] for period in periods}
     if figures["rows"]:
         overwrite_periods(df, path, len(periods))
-    for period in periods:
-        rows = figures[f"period {period}"]
+    for period, rows in expected.items():
         if rows == 0:
             replace_empty_period(df, path, period)
-        check_written_period(spark, path, table, period, rows)
+    if any(expected.values()):
+        check_written_periods(spark, path, table, expected)
     return figures["rows"]
 
 
@@ -61,16 +63,23 @@ def publish(
     agreed_root: str,
     periods: Sequence[str] = (),
     known: Mapping[str, Figures] | None = None,
+    stored: Collection[str] = (),
 ) -> dict[str, int]:
-    """Replace tables and return the rows written to each.
+    """Replace tables, all or none, and return the rows written to each.
 
-    Every table is inspected before the first one is overwritten. A frame is evaluated
-    for that and again for its write, so a costly one should come from a `Stage`; or the
-    caller passes the figures of a frame `known` to have the same rows, and it is
-    evaluated for the write only.
+    Every table is computed into the staging folder and inspected there before the first
+    one is overwritten, so nothing that fails in computing one can leave some replaced and
+    others not. Tables named in `stored` are read from staged or published files already,
+    through projections and filters that cannot fail; they aren't staged again, and those
+    with `known` figures aren't evaluated before their write either.
     """
     root = check_destination(root, agreed_root)
-    figures = {
-        name: inspect(df, name, periods, (known or {}).get(name)) for name, df in tables.items()
-    }
-    return {name: replace(df, name, root, periods, figures[name]) for name, df in tables.items()}
+    figures, ready = {}, {}
+    with Stage(next(iter(tables.values())).sparkSession, "publish") as stage:
+        for name, df in tables.items():
+            check_schema(df, SCHEMAS[name], name)
+            ready[name] = df if name in stored else stage.keep(df, name)
+            figures[name] = inspect(ready[name], name, periods, (known or {}).get(name))
+        return {
+            name: replace(df, name, root, periods, figures[name]) for name, df in ready.items()
+        }

@@ -18,6 +18,7 @@ def _qualified(database: str, table: str) -> str:
 def register_table(spark: SparkSession, database: str, table: str, path: str) -> str:
     """(Re)define an external table over a folder and pick up its periods."""
     name = _qualified(database, table)
+    path = path.replace("\\", "\\\\").replace("'", "\\'")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in SCHEMAS[table])
     partitioned = table in PERIOD_TABLES
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")

@@ -11,7 +11,7 @@ from predial.contracts import PERIOD, SCHEMAS, ContractError, float_columns
 from predial.functions.rules import is_bad_link, not_finite
 from predial.operators.casting import check_schema
 from predial.operators.counting import count_by
-from predial.sources.tables import read_period, read_table
+from predial.sources.tables import read_table
 
 
 def check_destination(root: str, agreed: str) -> str:
@@ -77,15 +77,22 @@ def check_written_table(spark: SparkSession, path: str, table: str, expected: in
     return _check_count(df, path, expected)
 
 
-def check_written_period(
-    spark: SparkSession, path: str, table: str, period: str, expected: int
-) -> int:
-    df = check_schema(read_period(spark, path, table, period), SCHEMAS[table], path)
-    return _check_count(df, f"{path} {period}", expected)
+def check_written_periods(
+    spark: SparkSession, path: str, table: str, expected: Mapping[str, int]
+) -> None:
+    """Rows per period, counted together; a period without files has none."""
+    df = check_schema(read_table(spark, path).select(*SCHEMAS[table].names), SCHEMAS[table], path)
+    counted = count_by(df.filter(F.col(PERIOD).isin(*expected)), PERIOD).collect()
+    found = {row[PERIOD]: row["registros"] for row in counted}
+    for period, rows in expected.items():
+        _check_rows(found.get(period, 0), f"{path} {period}", rows)
 
 
 def _check_count(df: DataFrame, label: str, expected: int) -> int:
-    found = df.count()
+    return _check_rows(df.count(), label, expected)
+
+
+def _check_rows(found: int, label: str, expected: int) -> int:
     if found != expected:
         raise ContractError(f"{label}: {found} rows read back, {expected} written")
     return found

@@ -19,6 +19,13 @@ class Stage:
         self.spark = spark
         self.folder = scratch_folder(spark, label)
 
+    @classmethod
+    def at(cls, spark: SparkSession, folder: str) -> Stage:
+        """A stage over a folder that may be there already."""
+        stage = cls(spark)
+        stage.folder = folder
+        return stage
+
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.folder}/{name}"
         df.write.mode("errorifexists").parquet(path)

@@ -10,8 +10,10 @@ import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from predial.contracts import (
+    PERIOD,
     PERIOD_PATTERN,
     RAW_BUILDINGS,
     RAW_PROPERTIES,
@@ -35,11 +37,19 @@ def _named(df: DataFrame, names: Sequence[str], label: str) -> DataFrame:
 
 
 def read_headered(
-    spark: SparkSession, path: str, names: Sequence[str] | None = None, sep: str = ","
+    spark: SparkSession,
+    path: str,
+    names: Sequence[str] | None = None,
+    sep: str = ",",
+    marked: bool = False,
 ) -> DataFrame:
-    """Text with a header line; `names` replaces the header by position."""
+    """Text with a header line; `names` replaces the header by position.
+
+    With `marked`, lines of another width than the header carry a mark (`read_marked`).
+    """
     df = spark.read.csv(path, header=True, inferSchema=False, sep=sep)
-    return df if names is None else _named(df, names, path)
+    df = df if names is None else _named(df, names, path)
+    return read_marked(spark, path, df.columns, sep, header=True) if marked else df
 
 
 def read_delimited(
@@ -49,6 +59,60 @@ def read_delimited(
     return _named(spark.read.csv(path, header=False, inferSchema=False, sep=sep), names, path)
 
 
+# Name of the mark of lines whose number of fields is wrong, and of Spark's copy of them.
+WIDTH = "_ancho"
+_LINE = "_linea"
+SHORT, LONG = "corta", "larga"
+
+
+def read_marked(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    names: Sequence[str],
+    sep: str,
+    header: bool = False,
+    file_path: str | None = None,
+) -> DataFrame:
+    """Text of a fixed width in one scan: `names`, and the mark `WIDTH`.
+
+    A line with too few or too many fields is marked short or long (by its separators), and
+    its fields, which may have shifted, are null. The mark needs every field parsed, so the
+    scan doesn't leave out columns. `file_path` asks for a column with the line's file.
+    """
+    schema = ", ".join(f"`{c}` string" for c in (*names, _LINE))
+    lines = (
+        spark.read.schema(schema)
+        .options(sep=sep, header=header, mode="PERMISSIVE", columnPruning=False)
+        .option("columnNameOfCorruptRecord", _LINE)
+        .csv(paths if isinstance(paths, str) else list(paths))
+    )
+    fields = F.length(_LINE) - F.length(F.replace(_LINE, F.lit(sep), F.lit(""))) + 1
+    short = F.col(names[-1]).isNull() & (fields < len(names))
+    whole = F.col(_LINE).isNull()
+    kind = F.when(~whole, F.when(short, SHORT).otherwise(LONG))
+    path = [F.col("_metadata.file_path").alias(file_path)] if file_path else []
+    return lines.select(
+        *(F.when(whole, F.col(c)).alias(c) for c in names), kind.alias(WIDTH), *path
+    )
+
+
+def width_report(df: DataFrame, *keys: str) -> DataFrame:
+    """How many lines of each kind were too short or too long."""
+    return df.filter(F.col(WIDTH).isNotNull()).groupBy(*keys, WIDTH).agg(
+        F.count("*").alias("registros")
+    )
+
+
+def refuse_ragged(df: DataFrame, label: str, *keys: str) -> DataFrame:
+    """Fail, naming the counts, if lines are marked; without marks, `df` minus the mark."""
+    if WIDTH not in df.columns:
+        return df
+    found = sorted(map(tuple, width_report(df, *keys).collect()))  # a few kinds and periods
+    if found:
+        raise ContractError(f"{label}: lines of wrong width {found}")
+    return df.drop(WIDTH)
+
+
 def tidy_text(df: DataFrame) -> DataFrame:
     """Trim every column and turn blanks into null, in one projection."""
     return df.select(*(blank_to_null(c).alias(c) for c in df.columns))
@@ -64,6 +128,27 @@ def period_path(base: str, table: str, period: str) -> str:
     return f"{base.rstrip('/')}/{table}/{check_period(period)}.csv"
 
 
+def read_periods(
+    spark: SparkSession, base: str, table: str, periods: Sequence[str],
+    names: Sequence[str], sep: str = "|", marked: bool = True,
+) -> DataFrame:
+    """All periods of a table in one scan, tidied, with `periodo` from the file's path.
+
+    With `marked`, lines of the wrong width carry a mark (`read_marked`); without, they are
+    cut or filled up with nulls.
+    """
+    paths = [period_path(base, table, period) for period in periods]
+    if marked:
+        lines = read_marked(spark, paths, names, sep, file_path="_archivo")
+    else:
+        schema = ", ".join(f"`{c}` string" for c in names)
+        lines = spark.read.schema(schema).csv(paths, sep=sep).select(
+            *names, F.col("_metadata.file_path").alias("_archivo")
+        )
+    period = F.regexp_extract("_archivo", f"/({PERIOD_PATTERN})[.]csv(?:/[^/]*)?$", 1)
+    return tidy_text(lines.withColumn(PERIOD, period).drop("_archivo"))
+
+
 def read_buildings(
     spark: SparkSession, base: str, period: str,
     names: Sequence[str] = RAW_BUILDINGS, sep: str = "|",

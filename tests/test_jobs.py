@@ -105,3 +105,63 @@ def test_profile_of_an_empty_file(spark, tmp_path, root):
     path.write_text("a,b,c,d,e,f\n")
     with pytest.raises(ContractError, match="no rows"):
         jobs.run_profile(spark, str(path), root)
+
+
+def everything(spark, root):
+    tables = ("construcciones", "no_agricola", "nexo_bc")
+    return {t: rows(spark.read.parquet(f"{root}/{t}")) for t in tables}
+
+
+def test_a_total_that_overflows_leaves_all_three_tables_as_they_were(spark, root, tmp_path):
+    base = write_cadastre(spark, SF)
+    jobs.run_cadastre(spark, base, root, root, PERIODS)
+    before = everything(spark, root)
+    line = "1|1|1|{}|A|1|2000|2000000000|H||||"[:-1]
+    bad = str(tmp_path / "bad")
+    for name, lines in (
+        ("construcciones", [line.format(1), line.format(2)]),
+        ("no_agricola", ["1|1|1|CALLE|1|1|H|1|0|0|0||||1|||||"]),
+    ):
+        os.makedirs(f"{bad}/{name}")
+        with open(f"{bad}/{name}/{PERIODS[0]}.csv", "w") as out:
+            out.write("\n".join(lines) + "\n")
+    with pytest.raises(Exception, match="CAST_OVERFLOW"):
+        jobs.run_cadastre(spark, bad, root, root, PERIODS[:1])
+    assert everything(spark, root) == before
+
+
+def test_lines_of_wrong_width_stop_the_cadastre_job(spark, root):
+    base = write_cadastre(spark, SF)
+    with open(f"{base}/construcciones/{PERIODS[1]}.csv/part-x.csv", "w") as out:
+        out.write("1|2|3\n" + "1|2|3|4|A|5|2000|10|H|||\n" + "1|" * 14 + "\n")
+    with pytest.raises(ContractError, match="corta', 1.*larga', 1"):
+        jobs.run_cadastre(spark, base, root, root, PERIODS)
+    assert not os.path.exists(root)
+
+
+@pytest.mark.parametrize("table", ["coordenadas", "precios_uf", "precios_transaccionales"])
+def test_a_bad_value_in_any_price_table_leaves_all_as_they_were(spark, base, root, table):
+    first, _ = jobs.run_prices(spark, base, root, root)
+    add = {
+        "coordenadas": "1e300,1,1,1,1", "precios_uf": "1990-01-01,1e300",
+        "precios_transaccionales": "1,1,1,19950102,,1e300",
+    }[table]
+    folder = f"{base}/{table}.csv"
+    header = next(open(f"{folder}/{f}").readline() for f in os.listdir(folder) if f.endswith(".csv"))
+    with open(f"{folder}/part-x.csv", "w") as out:
+        out.write(header + add + "\n")
+    before = {t: rows(spark.read.parquet(f"{root}/{t}")) for t in first}
+    with pytest.raises(ContractError, match=f"{table}: .*not finite"):
+        jobs.run_prices(spark, base, root, root, clp_cap=None, uf_cap=None)
+    assert {t: rows(spark.read.parquet(f"{root}/{t}")) for t in first} == before
+
+
+def test_ragged_sales_stop_the_job_unless_accepted(spark, base, root):
+    folder = f"{base}/precios_transaccionales.csv"
+    with open(f"{folder}/part-x.csv", "w") as out:
+        out.write("A,B,C,D,E,F\n1,2\n")
+    with pytest.raises(ContractError, match="corta', 1"):
+        jobs.run_prices(spark, base, root, root)
+    assert not os.path.exists(root)
+    written, _ = jobs.run_prices(spark, base, root, root, accept_ragged=True)
+    assert written["precios_transaccionales"] > 0

@@ -7,6 +7,7 @@ from conftest import rows
 from predial.contracts import CLP_CAP, RAW_SALES, SCHEMAS, UF_CAP, ContractError
 from predial.functions import rules
 from predial.operators.casting import check_schema
+from predial.sinks.guards import measure
 from predial.plans import prices, profile
 from workload import views
 
@@ -115,8 +116,8 @@ def test_invariants(spark):
     df = prices.type_rates(views.raw_rates(spark, SF))
     capped = prices.cap_prices(typed)
     attached = prices.attach_rates(capped, prices.rate_reference(df), prices.check_rates(df))
-    kept = prices.keep_usable(attached)
-    assert kept.count() == attached.filter(rules.usable_sale()).count() == 14_367
+    final = prices.finish_sales(typed, prices.rate_reference(df), prices.check_rates(df))
+    assert final.count() == attached.filter(rules.usable_sale()).count() == 14_367
     assert attached.count() == capped.count()
     kept = attached.select("*", F.col("precio_clp").cast("float").alias("before"))
     assert kept.filter(F.col("before") <= 0).isEmpty()
@@ -140,3 +141,28 @@ def test_combined_counts_agree_with_the_single_reports(spark):
     assert found["nulos"] == profile.null_profile(raw).first().asDict()
     assert found["vacios"] == profile.blank_profile(raw).first().asDict()
     assert found["controles"] == dict(map(tuple, profile.controls(values, today).collect()))
+
+
+def test_unusable_rows_are_left_out_by_the_scan(spark, tmp_path):
+    prices.type_sales(views.raw_sales(spark, SF)).write.parquet(f"{tmp_path}/typed")
+    df = prices.type_rates(views.raw_rates(spark, SF))
+    final = prices.finish_sales(
+        spark.read.parquet(f"{tmp_path}/typed"), prices.rate_reference(df), prices.check_rates(df))
+    plan = final._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.split("\n") if "typed" in line and "PushedFilters" in line)
+    for c in ("cod_com", "cod_mz", "cod_pr", "fecha_escritura"):
+        assert f"IsNotNull({c})" in scan
+
+
+def test_audit_knows_what_the_guards_ask(spark):
+    typed = prices.type_sales(views.raw_sales(spark, SF))
+    df = prices.type_rates(views.raw_rates(spark, SF))
+    args = (typed, prices.rate_reference(df), prices.check_rates(df), None, None)
+    huge = typed.limit(1).selectExpr("1 cod_com", "1 cod_mz", "1 cod_pr", "date'1995-01-02' fecha_escritura",
+                                     "1e300D precio_clp", "cast(null as double) precio_uf")
+    for sales in (typed, typed.union(huge)):
+        audit = prices.sales_audit(sales, *args[1:], for_publishing=True).first().asDict()
+        final = prices.finish_sales(sales, *args[1:])
+        for name, n in measure(final, "precios_transaccionales").items():
+            assert audit[name] == n
+    assert audit["not finite precio_clp"] == audit["not finite precio_uf"] == 1

@@ -144,7 +144,9 @@ def test_destination(bad):
 def test_read_back_check(spark, root):
     publish(links(spark, (1, NEW)), "nexo_bc", root, root, [NEW])
     with pytest.raises(ContractError, match="1 rows read back, 2 written"):
-        guards.check_written_period(spark, f"{root}/nexo_bc", "nexo_bc", NEW, 2)
+        guards.check_written_periods(spark, f"{root}/nexo_bc", "nexo_bc", {NEW: 2})
+    with pytest.raises(ContractError, match="0 rows read back, 1 written"):
+        guards.check_written_periods(spark, f"{root}/nexo_bc", "nexo_bc", {NEW: 1, OLD: 1})
     lookup = spark.createDataFrame([("A", "b")], SCHEMAS["codigo_material"])
     publish(lookup, "codigo_material", root, root)
     with pytest.raises(ContractError):
@@ -170,6 +172,38 @@ def test_catalog_sees_every_period(spark, root):
             catalog.row_count(spark, name, "nexo_bc")
 
 
+def test_a_path_with_an_apostrophe(spark, tmp_path):
+    root = str(tmp_path / "d'aval x")
+    publish(links(spark, (1, NEW)), "nexo_bc", root, root, [NEW])
+    catalog.register_table(spark, "predial_test", "nexo_bc", f"{root}/nexo_bc")
+    assert rows(catalog.row_count(spark, "predial_test", "nexo_bc")) == [(1,)]
+
+
+def test_a_table_that_fails_to_compute_leaves_all_as_they_were(spark, root):
+    schema = SCHEMAS["codigo_material"]
+    publish(spark.createDataFrame([("A", "a")], schema), "codigo_material", root, root)
+    late = spark.range(3).selectExpr(
+        "if(id < 2, cast(id as string), raise_error('late')) as cod_destino",
+        "'x' as descripcion_destino", "'y' as tipo")
+    tables = {
+        "codigo_material": spark.createDataFrame([("B", "b")], schema), "codigo_destino": late,
+    }
+    with pytest.raises(Exception, match="late"):
+        publishing.publish(tables, root, root)
+    assert rows(spark.read.parquet(f"{root}/codigo_material")) == [("A", "a")]
+    assert os.listdir(root) == ["codigo_material"]
+
+
+def test_read_back_takes_one_job_whatever_the_number_of_periods(spark, root):
+    periods = [f"{year}_{half}" for year in range(2010, 2020) for half in (1, 2)]
+    publish(links(spark, *((1, p) for p in periods)), "nexo_bc", root, root, periods)
+    group = "read-back"
+    spark.sparkContext.setJobGroup(group, group)
+    guards.check_written_periods(spark, f"{root}/nexo_bc", "nexo_bc", dict.fromkeys(periods, 1))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) <= 4
+
+
 def test_stage_survives_until_its_end(spark):
     with Stage(spark, "test") as stage:
         kept = stage.keep(spark.range(10), "ids")

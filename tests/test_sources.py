@@ -79,3 +79,31 @@ def test_strict_cast_fails(spark, text_value):
     df = spark.createDataFrame([row], [c for c in schema.names])
     with pytest.raises(Exception, match="CAST_INVALID_INPUT|CAST_OVERFLOW"):
         conform(df, schema).collect()
+
+
+def test_lines_of_wrong_width_are_marked(spark, tmp_path):
+    path = put(tmp_path, "a.csv", 'a,b,c\n1,"x,y",z\n2,x\n3,x,y,z\n4,,\n\n5\n')
+    df = text.read_headered(spark, path, ("p", "q", "r"), marked=True)
+    assert rows(df) == [
+        ("1", "x,y", "z", None), ("4", None, None, None), (None, None, None, "corta"),
+        (None, None, None, "corta"), (None, None, None, "larga")]
+    assert rows(text.width_report(df.select("p", text.WIDTH))) == [("corta", 2), ("larga", 1)]
+    with pytest.raises(ContractError, match="corta', 2"):
+        text.refuse_ragged(df, "a")
+    clean = text.read_headered(spark, put(tmp_path, "b.csv", "a,b\n1,2\n"), marked=True)
+    assert text.refuse_ragged(clean, "b").columns == ["a", "b"]
+
+
+def test_many_periods_in_one_scan(spark, tmp_path):
+    names = ("cod_com", "cod_mz", "x")
+    put(tmp_path, "t/2025_2.csv", "1|2|a\n3|4\n")
+    put(tmp_path, "t/2026_1.csv/part-0.csv", " 5 |6| \n7|8|b|c\n")
+    df = text.read_periods(spark, str(tmp_path), "t", ["2025_2", "2026_1"], names)
+    assert rows(df.filter("_ancho is null").drop("_ancho")) == [
+        ("1", "2", "a", "2025_2"), ("5", "6", None, "2026_1")]
+    assert rows(text.width_report(df, "periodo")) == [
+        ("2025_2", "corta", 1), ("2026_1", "larga", 1)]
+    plain = text.read_periods(spark, str(tmp_path), "t", ["2025_2", "2026_1"], names, marked=False)
+    assert ("3", "4", None, "2025_2") in rows(plain) and ("7", "8", "b", "2026_1") in rows(plain)
+    scans = df._jdf.queryExecution().executedPlan().toString().count("FileScan csv")
+    assert scans == 1
