@@ -2,9 +2,34 @@
 
 from __future__ import annotations
 
-from predial.contracts import SCHEMAS
 from workload import fixture_columns as fx
 
+# The tables as they must be, written out: the product's own schemas are not asked.
+SCHEMAS = {
+    name: dict(column.split() for column in columns.split(","))
+    for name, columns in {
+        "construcciones": """cod_com integer, cod_mz integer, cod_pr integer, periodo varchar,
+            numero_linea integer, cod_calidad integer, cod_destino varchar, cod_material varchar,
+            superficie_construida integer, cod_condicion_especial varchar,
+            ano_construccion integer""",
+        "no_agricola": """cod_com integer, cod_mz integer, cod_pr integer, periodo varchar,
+            direccion varchar, avaluo_fiscal_clp bigint, contrib_semestrales_clp bigint,
+            cod_destino varchar, avaluo_exento_clp bigint, superficie_total_terreno integer,
+            superficie_total_construcciones integer, ano_construccion integer""",
+        "nexo_bc": """cod_com integer, cod_mz integer, cod_pr integer, periodo varchar,
+            cod_com_bc integer, cod_mz_bc integer, cod_pr_bc integer""",
+        "coordenadas": """cod_com integer, cod_mz integer, cod_pr integer, latitud float,
+            longitud float""",
+        "codigo_comuna_region": """cod_com integer, cod_region integer, comuna varchar,
+            region varchar""",
+        "codigo_destino": "cod_destino varchar, descripcion_destino varchar, tipo varchar",
+        "codigo_material": "cod_material varchar, descripcion_material varchar",
+        "precios_transaccionales": """cod_com integer, cod_mz integer, cod_pr integer,
+            fecha_escritura date, precio_clp float, precio_uf float""",
+        "precios_uf": "date date, uf float",
+    }.items()
+}
+
 TODAY = "date '2001-06-30'"
 
 
@@ -181,14 +206,11 @@ def _tidy(c: str) -> str:
     return f"nullif(trim({c}), '')"
 
 
-SQL_TYPES = {"string": "varchar", "int": "integer", "bigint": "bigint"}
-
-
 def _cast_to(table: str, names=None) -> str:
     return ", ".join(
-        f"cast({_tidy(f.name)} AS {SQL_TYPES[f.dataType.simpleString()]}) AS {f.name}"
-        for f in SCHEMAS[table]
-        if names is None or f.name in names
+        f"cast({_tidy(name)} AS {kind}) AS {name}"
+        for name, kind in SCHEMAS[table].items()
+        if names is None or name in names
     )
 
 
@@ -198,7 +220,7 @@ buildings AS (SELECT {_cast_to("construcciones")} FROM raw_buildings)"""
 
 
 TOTALS = ("superficie_total_construcciones", "ano_construccion")
-OWN = [c for c in SCHEMAS["no_agricola"].names if c not in TOTALS]
+OWN = [c for c in SCHEMAS["no_agricola"] if c not in TOTALS]
 COMMON = ", ".join(
     f"cast({_tidy(c)} AS integer) AS {c}" for c in ("cod_com_bc", "cod_mz_bc", "cod_pr_bc")
 )
@@ -224,14 +246,12 @@ def _cadastre(periods: bool = False) -> str:
 
 
 LINK = "coalesce(cod_com_bc <> 0 AND cod_pr < 70000, false)"
-NEXO = ", ".join(SCHEMAS["nexo_bc"].names)
+NEXO = ", ".join(SCHEMAS["nexo_bc"])
 
 
 def _lookup(columns: dict[str, str], table: str, source: str) -> str:
-    types = {f.name: f.dataType.simpleString() for f in SCHEMAS[table]}
     return "SELECT " + ", ".join(
-        f"cast({columns[c]} AS {t if t != 'string' else 'varchar'}) AS {c}"
-        for c, t in types.items()
+        f"cast({columns[c]} AS {kind}) AS {c}" for c, kind in SCHEMAS[table].items()
     ) + f" FROM {source}"
 
 
@@ -239,6 +259,27 @@ def _nulled(c: str) -> str:
     return f"CASE WHEN {c} <> '' THEN {c} END AS {c}"
 
 
+def _described(source: str) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{c}' AS precio, count(valor_{c}) AS registros,
+        printf('%.8e', avg(valor_{c})) AS media,
+        printf('%.8e', stddev_samp(valor_{c})) AS desviacion,
+        min(valor_{c}) AS minimo, max(valor_{c}) AS maximo FROM {source}""" for c in PRICES)
+
+
+def _summary(sources: dict[str, str]) -> str:
+    """Rows, cells that aren't null, and the sum of all whole numbers, per table."""
+    found = []
+    for table, source in sources.items():
+        columns = SCHEMAS[table]
+        cells = " + ".join(f"count({c})" for c in columns)
+        whole = [c for c, kind in columns.items() if kind in ("integer", "bigint")]
+        total = " + ".join(f"coalesce(sum({c}), 0)" for c in whole) or "0"
+        found.append(f"SELECT '{table}' AS tabla, count(*) AS registros, {cells} AS celdas, "
+                     f"cast({total} AS bigint) AS suma FROM ({source})")
+    return " UNION ALL ".join(found)
+
+
 PENDING = {
     "clp_pendiente": "precio_clp IS NULL",
     "uf_pendiente": "precio_uf IS NULL",
@@ -283,7 +324,10 @@ def oracles() -> dict[str, str]:
                 (audits["clean"], "typed"), (audits["cap"], "usable"),
                 (audits["impute"], "attached"), (PENDING, "final"))),
         "pending_audit": sales + _counts(PENDING, "final"),
-        "nonfinite_audit": sales + _counts({c: f"NOT isfinite({c})" for c in PRICES}, "final"),
+        "nonfinite_audit": _sales(caps=("", "")) + """SELECT
+            count(*) FILTER (WHERE cod_com % 50 = 0 AND precio_clp * 1e38 > 3.4028235677973366e38)
+                AS precio_clp,
+            count(*) FILTER (WHERE cod_com % 40 = 0) AS precio_uf FROM final""",
         "no_price": sales + _counts(
             {"ambos_precios_pendientes": PENDING["ambos_pendientes_conservados"]}, "final"),
         "uf_reference": _with(RAW_RATES, RATES) + "SELECT DISTINCT date, uf FROM rates",
@@ -316,10 +360,13 @@ def oracles() -> dict[str, str]:
             1 NULLS FIRST, 2 NULLS FIRST, 3 NULLS FIRST, 4 NULLS FIRST LIMIT 5""",
         "bad_dates": PROFILE + f"""SELECT fecha_escritura FROM vals
             WHERE NOT {_blank("fecha_escritura")} AND valor_fecha_escritura IS NULL""",
-        "describe": PROFILE + " UNION ALL ".join(
-            f"""SELECT '{c}' AS precio, count(valor_{c}) AS registros,
-            round(avg(valor_{c}), -3) AS media, round(stddev_samp(valor_{c}), -3) AS desviacion,
-            min(valor_{c}) AS minimo, max(valor_{c}) AS maximo FROM vals""" for c in PRICES),
+        "describe": PROFILE + _described("vals"),
+        "describe_plausible": PROFILE + """, plausible AS (SELECT
+            CASE WHEN valor_precio_clp > 0 AND valor_precio_clp <= 40000000000
+                THEN valor_precio_clp END AS valor_precio_clp,
+            CASE WHEN valor_precio_uf > 0 AND valor_precio_uf <= 1000000
+                THEN valor_precio_uf END AS valor_precio_uf FROM vals) """
+        + _described("plausible"),
         "positive_prices": _with(RAW_SALES, VALUES, POSITIVE)
         + "SELECT precio, valor, count(*) AS n FROM positive GROUP BY precio, valor",
         "iqr": SPREAD + """SELECT precio, q1, q3, iqr, limite_inferior, limite_superior,
@@ -385,4 +432,36 @@ def oracles() -> dict[str, str]:
         "sql_pending": sales + _counts(
             {"ambos_precios_pendientes": PENDING["ambos_pendientes_conservados"]}, "final"),
     }
+    found |= {
+        "sample": _with(RAW_SALES) + """SELECT count(*) AS registros, true AS en_limite,
+            true AS tamano_esperado, cast(0 AS bigint) AS ajenos, true AS repetible FROM raw""",
+        "refusals": """SELECT * FROM (VALUES ('destino_ajeno', true), ('periodo_ajeno', true),
+            ('nexo_invalido', true), ('tabla_vacia', true), ('fuente_vacia', true),
+            ('no_finito', true), ('esquema', true), ('uf_invalida', true),
+            ('uf_contradictoria', true), ('correcta', false)) t(caso, rechazado)""",
+        "csv_ragged": _with(_raw_buildings(True)) + """SELECT periodo,
+            CASE WHEN cast(cod_pr AS bigint) % 97 = 0 THEN 'corta' ELSE 'larga' END AS ancho,
+            count(*) AS registros FROM raw_buildings
+            WHERE cast(cod_pr AS bigint) % 97 = 0 OR cast(cod_pr AS bigint) % 89 = 0
+            GROUP BY 1, 2""",
+        "job_prices": sales + _summary({
+            "precios_transaccionales": "SELECT * FROM final",
+            "precios_uf": "SELECT date, cast(uf AS float) AS uf FROM rates",
+            "coordenadas": found["coordenadas"],
+            "codigo_comuna_region": found["comuna_region"],
+            "codigo_destino": found["destino"],
+            "codigo_material": found["material"],
+        }),
+        "job_cadastre": _cadastre(True) + _summary({
+            "construcciones": "SELECT * FROM buildings",
+            "no_agricola": NO_AGRICOLA,
+            "nexo_bc": f"SELECT {NEXO} FROM properties WHERE {LINK}",
+        }),
+        # A text file doesn't tell empty from missing: both are read as null.
+        "job_profile_counts": found["profile_counts"].replace(PROFILE, _with(
+            RAW_SALES, f"text AS (SELECT {', '.join(map(_nulled, RAW_COLUMNS))} FROM raw)",
+            VALUES.replace("FROM raw", "FROM text"))),
+        "job_profile_iqr": found["iqr"],
+        "job_profile_box": found["box"],
+    }
     return {f"q_{name}": sql for name, sql in found.items()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,25 +15,26 @@ from predial.contracts import (
     RAW_BUILDINGS,
     RAW_PROPERTIES,
     RAW_SALES,
-    ROL,
     SCHEMAS,
+    ContractError,
 )
 from predial.operators import quantiles
 from predial.operators.casting import check_schema, conform
 from predial.operators.counting import count_by
 from predial.operators.duplicates import exact_duplicates, most_repeated
-from predial.plans import cadastre, lookups, prices, profile
+from predial.plans import cadastre, jobs, lookups, prices, profile
 from predial.plans.publish import publish
-from predial.session import configure, scratch_folder
+from predial.session import configure, scratch_root
 from predial.sinks import catalog, guards
 from predial.sinks.staging import Stage
 from predial.sources.tables import read_period
 from predial.sources.text import (
+    WIDTH,
     period_path,
-    read_buildings,
     read_headered,
-    read_properties,
+    read_periods,
     tidy_text,
+    width_report,
 )
 from workload import views
 from workload.fixture_columns import PERIODS
@@ -64,9 +66,8 @@ def _typed(spark, sf_dir):
 
 def _publish_final(spark, sf_dir, label):
     """The finished sale table as a published folder; its rows are computed once."""
-    root, name = scratch_folder(spark, label), "precios_transaccionales"
-    with Stage(spark, label) as stage:
-        publish({name: stage.keep(_final(spark, sf_dir), name)}, root, root)
+    root, name = replaceable_folder(spark, label), "precios_transaccionales"
+    publish({name: _final(spark, sf_dir)}, root, root)
     return f"{root}/{name}"
 
 
@@ -126,7 +127,15 @@ def sales_audit(spark, sf_dir):
 
 @query
 def nonfinite_audit(spark, sf_dir):
-    return guards.non_finite_audit(_final(spark, sf_dir), "precios_transaccionales")
+    """Prices that overflow their type: made huge, by key, after the caps were left out."""
+    final = _final(spark, sf_dir, clp_cap=None, uf_cap=None)
+    huge = final.withColumns({
+        "precio_clp": F.when(F.col("cod_com") % 50 == 0, F.col("precio_clp").cast("double") * 1e38)
+        .otherwise(F.col("precio_clp")).cast("float"),
+        "precio_uf": F.when(F.col("cod_com") % 40 == 0, float("nan"))
+        .otherwise(F.col("precio_uf")).cast("float"),
+    })
+    return guards.non_finite_audit(huge, "precios_transaccionales")
 
 
 @query
@@ -231,11 +240,22 @@ def _prices(spark, sf_dir):
     return profile.read_prices(_values(spark, sf_dir))
 
 
+def _described(prices_of):
+    found = quantiles.describe(prices_of, PRICES)
+    for c in ("media", "desviacion"):
+        found = found.withColumn(c, F.format_string("%.8e", c))
+    return found
+
+
 @query
 def describe(spark, sf_dir):
-    found = quantiles.describe(_prices(spark, sf_dir), PRICES)
-    rounded = {c: F.round(c, -3) for c in ("media", "desviacion")}
-    return found.withColumns(rounded)
+    return _described(_prices(spark, sf_dir))
+
+
+@query
+def describe_plausible(spark, sf_dir):
+    """Without the extreme values, which would hide a wrong mean of the others."""
+    return _described(prices.cap_prices(_prices(spark, sf_dir)))
 
 
 def _exact(spark, sf_dir):
@@ -277,8 +297,60 @@ def quartiles_approx(spark, sf_dir):
 
 @query
 def sample(spark, sf_dir):
-    """Bounded random sample through a temporary view; no oracle, rows differ by layout."""
-    return profile.sample_view(_values(spark, sf_dir))
+    """What can be said of a random sample whatever the rows: one row of proof."""
+    bound = 1000
+    values = _prices(spark, sf_dir)
+    with Stage(spark, "sample") as stage:
+        drawn = stage.keep(profile.sample_view(_values(spark, sf_dir), max_rows=bound), "drawn")
+        total = values.count()
+        expected = min(total, bound)
+        deviation = (expected * (1 - expected / total)) ** 0.5
+        found = drawn.count()
+        # As often as in the population, at most: rows are drawn without replacement.
+        per_row = [F.count("*").alias("n")]
+        ours = drawn.groupBy(*PRICES).agg(*per_row)
+        theirs = values.groupBy(*PRICES).agg(F.count("*").alias("de"))
+        same = [ours[c].eqNullSafe(theirs[c]) for c in PRICES]
+        strange = ours.join(theirs, same, "left").filter("de IS NULL OR n > de").count()
+        again = profile.sample_view(_values(spark, sf_dir), max_rows=bound)
+        repeats = again.exceptAll(drawn).isEmpty() and drawn.exceptAll(again).isEmpty()
+    row = (total, found <= bound, abs(found - expected) <= 5 * deviation + 1, strange, repeats)
+    schema = "registros long, en_limite boolean, tamano_esperado boolean, ajenos long, repetible boolean"
+    return spark.createDataFrame([row], schema)
+
+
+@query
+def refusals(spark, sf_dir):
+    """Each guard on a bad frame made from the tables, and what it says."""
+    links = cadastre.build_nexo_bc(_properties(spark, sf_dir, periods=True))
+    final = _final(spark, sf_dir)
+    first = PERIODS[:1]
+    in_first = links.filter(F.col("periodo") == first[0])
+    infinite = final.withColumn("precio_clp", (F.col("precio_clp") * F.lit(1e38)).cast("float"))
+    attempts = {
+        "destino_ajeno": lambda root: publish({"nexo_bc": links}, f"{root}x", root, PERIODS),
+        "periodo_ajeno": lambda root: publish({"nexo_bc": links}, root, root, first),
+        "nexo_invalido": lambda root: publish(
+            {"nexo_bc": in_first.withColumn("cod_pr", F.lit(70_000))}, root, root, first),
+        "tabla_vacia": lambda root: publish(
+            {"precios_transaccionales": final.filter("cod_com < 0")}, root, root),
+        "fuente_vacia": lambda root: guards.check_not_empty(final.filter("cod_com < 0"), "x"),
+        "no_finito": lambda root: publish({"precios_transaccionales": infinite}, root, root),
+        "esquema": lambda root: publish({"nexo_bc": links.drop("cod_pr")}, root, root, PERIODS),
+        "uf_invalida": lambda root: prices.check_rates(_faulty(spark, sf_dir)),
+        "uf_contradictoria": lambda root: prices.check_rates(
+            _faulty(spark, sf_dir).filter("uf > 0")),
+        "correcta": lambda root: publish({"nexo_bc": in_first}, root, root, first),
+    }
+    found = []
+    for name, attempt in attempts.items():
+        with Stage(spark, "refusals") as stage:
+            try:
+                attempt(f"{stage.folder}/out")
+                found.append((name, False))
+            except ContractError:
+                found.append((name, True))
+    return spark.createDataFrame(found, "caso string, rechazado boolean")
 
 
 # -- cadastre ---------------------------------------------------------------------
@@ -384,16 +456,26 @@ def write_text(df: DataFrame, path: str, **options) -> None:
     df.write.options(**KEEP_SPACES, **options).csv(path)
 
 
-def write_sales(spark: SparkSession, sf_dir: str) -> str:
+def replaceable_folder(spark: SparkSession, label: str) -> str:
+    """A folder of its own for each query and application; a rerun replaces what it left.
+
+    Results read it, so it can't go with the query.
+    """
+    folder = f"{scratch_root(spark)}/predial/workload/{spark.sparkContext.applicationId}/{label}"
+    Stage.at(spark, folder).release()
+    return folder
+
+
+def write_sales(spark: SparkSession, sf_dir: str, label: str = "sales") -> str:
     """Raw sales as a file with the header its source would carry."""
-    path = f"{scratch_folder(spark, 'sales')}/precios_transaccionales.csv"
+    path = f"{replaceable_folder(spark, label)}/precios_transaccionales.csv"
     titles = [c.upper() for c in RAW_SALES]
     write_text(views.raw_sales(spark, sf_dir).toDF(*titles), path, header=True)
     return path
 
 
-def write_cadastre(spark: SparkSession, sf_dir: str) -> str:
-    base = scratch_folder(spark, "cadastre")
+def write_cadastre(spark: SparkSession, sf_dir: str, label: str = "cadastre") -> str:
+    base = replaceable_folder(spark, label)
     buildings = views.raw_buildings(spark, sf_dir, periods=True)
     properties = views.raw_properties(spark, sf_dir, periods=True)
     for period in PERIODS:
@@ -408,53 +490,129 @@ def write_cadastre(spark: SparkSession, sf_dir: str) -> str:
 
 @query
 def csv_prices(spark, sf_dir):
-    return read_headered(spark, write_sales(spark, sf_dir), RAW_SALES)
+    return read_headered(spark, write_sales(spark, sf_dir, "csv_prices"), RAW_SALES)
 
 
 @query
 def csv_precios(spark, sf_dir):
     """The flagship job starting from a text file."""
-    raw = read_headered(spark, write_sales(spark, sf_dir), RAW_SALES)
+    raw = read_headered(spark, write_sales(spark, sf_dir, "csv_precios"), RAW_SALES)
     return prices.build_precios(raw, _rates(spark, sf_dir))
 
 
-def _from_files(spark, base, read):
-    parts = [cadastre.with_period(read(spark, base, p), p) for p in PERIODS]
-    return parts[0].unionByName(parts[1])
-
-
 @query
 def csv_cadastre(spark, sf_dir):
     """Properties with totals from two periods of delimited files."""
-    base = write_cadastre(spark, sf_dir)
-    buildings = cadastre.build_construcciones(_from_files(spark, base, read_buildings))
-    properties = cadastre.type_properties(_from_files(spark, base, read_properties))
-    return cadastre.build_no_agricola(properties, cadastre.building_totals(buildings))
+    base = write_cadastre(spark, sf_dir, "csv_cadastre")
+    buildings = read_periods(spark, base, "construcciones", PERIODS, RAW_BUILDINGS, marked=False)
+    properties = read_periods(spark, base, "no_agricola", PERIODS, RAW_PROPERTIES, marked=False)
+    totals = cadastre.building_totals(cadastre.build_construcciones(buildings))
+    return cadastre.build_no_agricola(cadastre.type_properties(properties), totals)
+
+
+@query
+def csv_ragged(spark, sf_dir):
+    """Lines too short or too long by key, counted per period by the reading scan."""
+    base = replaceable_folder(spark, "ragged")
+    raw = views.raw_buildings(spark, sf_dir, periods=True)
+    fields = (F.coalesce(F.col(c), F.lit("")) if c in raw.columns else F.lit("") for c in RAW_BUILDINGS)
+    whole, number = F.concat_ws("|", *fields), F.col("cod_pr").cast("long")
+    line = F.when(number % 97 == 0, F.concat_ws("|", "cod_com", "cod_mz", "cod_pr")).when(
+        number % 89 == 0, F.concat(whole, F.lit("|x|y"))
+    ).otherwise(whole)
+    for period in PERIODS:
+        lines = raw.filter(F.col("periodo") == period).select(line.alias("value"))
+        lines.write.text(period_path(base, "construcciones", period))
+    marked = read_periods(spark, base, "construcciones", PERIODS, RAW_BUILDINGS)
+    report = width_report(marked, "periodo")
+    return report.withColumnRenamed(WIDTH, "ancho")
+
+
+# -- the jobs, from text to their tables and reports -----------------------------------
+
+
+def _summary(spark, root, tables):
+    """One row per table: rows, cells that aren't null, and the sum of all whole numbers."""
+    found = []
+    for name in tables:
+        df, schema = spark.read.parquet(f"{root}/{name}"), SCHEMAS[name]
+        whole = [f.name for f in schema if f.dataType.simpleString() in ("int", "bigint")]
+        cells = sum((F.count(c) for c in schema.names[1:]), F.count(schema.names[0]))
+        total = sum((F.coalesce(F.sum(c), F.lit(0)) for c in whole), F.lit(0))
+        found.append(df.agg(
+            F.lit(name).alias("tabla"), F.count("*").alias("registros"), cells.alias("celdas"),
+            total.cast("bigint").alias("suma"),
+        ))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def job_prices(spark, sf_dir):
+    base = replaceable_folder(spark, "job_prices")
+    sources = {
+        "precios_transaccionales": views.raw_sales(spark, sf_dir),
+        "precios_uf": views.raw_rates(spark, sf_dir),
+        "coordenadas": views.raw_coordinates(spark, sf_dir),
+        "codigo_comuna_region": views.raw_communes(spark, sf_dir),
+        "codigo_destino": views.raw_uses(spark, sf_dir),
+        "codigo_material": views.raw_materials(spark, sf_dir),
+    }
+    for name, df in sources.items():
+        write_text(df, f"{base}/raw/{name}.csv", header=True)
+    jobs.run_prices(spark, f"{base}/raw", f"{base}/out", f"{base}/out")
+    return _summary(spark, f"{base}/out", sources)
+
+
+@query
+def job_cadastre(spark, sf_dir):
+    base = write_cadastre(spark, sf_dir, "job_cadastre")
+    jobs.run_cadastre(spark, base, f"{base}/out", f"{base}/out", PERIODS)
+    return _summary(spark, f"{base}/out", PERIOD_TABLES)
+
+
+def _profile_report(spark, sf_dir, name):
+    path = write_sales(spark, sf_dir, f"job_profile_{name}")
+    output = path.rsplit("/", 1)[0] + "/reports"
+    return jobs.run_profile(spark, path, output, TODAY, exact=True)[name]
+
+
+@query
+def job_profile_counts(spark, sf_dir):
+    return _profile_report(spark, sf_dir, "counts")
+
+
+@query
+def job_profile_iqr(spark, sf_dir):
+    return _profile_report(spark, sf_dir, "iqr")
+
+
+@query
+def job_profile_box(spark, sf_dir):
+    return _profile_report(spark, sf_dir, "box")
 
 
 def publish_cadastre(spark: SparkSession, sf_dir: str) -> str:
     """All three period tables, one of them published twice: the rerun must not add."""
-    root = scratch_folder(spark, "published")
+    root = replaceable_folder(spark, "published")
     with Stage(spark, "cadastre") as stage:
         lines = stage.keep(_buildings(spark, sf_dir, periods=True), "lines")
         owned = stage.keep(_properties(spark, sf_dir, periods=True), "owned")
-        links = cadastre.build_nexo_bc(owned)
-        joined = cadastre.build_no_agricola(owned, cadastre.building_totals(lines))
         tables = {
             "construcciones": lines,
-            "no_agricola": stage.keep(joined, "joined"),
-            "nexo_bc": links,
+            "no_agricola": cadastre.build_no_agricola(owned, cadastre.building_totals(lines)),
+            "nexo_bc": cadastre.build_nexo_bc(owned),
         }
-        publish(tables, root, root, PERIODS)
-        again = links.filter(F.col("periodo") == PERIODS[0])
-        publish({"nexo_bc": again}, root, root, PERIODS[:1])
+        stored = ("construcciones", "nexo_bc")
+        publish(tables, root, root, PERIODS, stored=stored)
+        again = tables["nexo_bc"].filter(F.col("periodo") == PERIODS[0])
+        publish({"nexo_bc": again}, root, root, PERIODS[:1], stored=stored)
     return root
 
 
 @query
 def round_trip(spark, sf_dir):
     """Written, one period replaced, and both read back."""
-    path = f"{scratch_folder(spark, 'round')}"
+    path = replaceable_folder(spark, "round")
     links = cadastre.build_nexo_bc(_properties(spark, sf_dir, periods=True))
     publish({"nexo_bc": links}, path, path, PERIODS)
     first = links.filter(F.col("periodo") == PERIODS[0])
@@ -466,7 +624,7 @@ def round_trip(spark, sf_dir):
 @query
 def empty_period(spark, sf_dir):
     """One period cleared, the other left alone."""
-    path = f"{scratch_folder(spark, 'empty')}"
+    path = replaceable_folder(spark, "empty")
     links = cadastre.build_nexo_bc(_properties(spark, sf_dir, periods=True))
     publish({"nexo_bc": links}, path, path, PERIODS)
     publish({"nexo_bc": links.filter(F.lit(False))}, path, path, PERIODS[:1])
