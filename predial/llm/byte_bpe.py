@@ -27,6 +27,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from predial.llm.support import Recent
+
 CACHE_ENTRIES = 400_000  # stretches and pieces a worker remembers, at most
 SHORT = 64  # characters or bytes of the longest that it remembers
 FOREST_CELLS = 1 << 17  # leaves of the trees that are merged side by side
@@ -140,31 +142,6 @@ class Forest:
         return [packed[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
 
 
-class Recent:
-    """A bounded memory: the latest entries and those of the generation before."""
-
-    def __init__(self, entries: int = CACHE_ENTRIES):
-        self.entries = entries
-        self.young: dict = {}
-        self.old: dict = {}
-
-    def fill(self, keys: Iterable) -> tuple[dict, set]:
-        """What is known of `keys`, and what is not."""
-        young, old, known, unknown = self.young, self.old, {}, set()
-        for key in keys:
-            value = young.get(key) or old.get(key)
-            if value is None:
-                unknown.add(key)
-            else:
-                known[key] = value
-        return known, unknown
-
-    def add(self, found: dict) -> None:
-        self.young.update((k, v) for k, v in found.items() if len(k) <= SHORT)
-        if len(self.young) > self.entries:
-            self.young, self.old = {}, self.young
-
-
 class TextCodec:
     """Whole texts to packed ids (little-endian unsigned 32-bit) and back to bytes."""
 
@@ -175,7 +152,7 @@ class TextCodec:
         self.bytes_of = [b""] * self.table.size
         for token, rank in self.ranks.items():
             self.bytes_of[rank] = token
-        self.recent = Recent()
+        self.recent = Recent(CACHE_ENTRIES, SHORT)
 
     def _merge(self, pieces: Iterable[str]) -> dict[str, bytes]:
         """The packed ids of pieces; a piece that is a token needs no merges."""

@@ -20,8 +20,10 @@ end-of-document id only. Equal rows are placed one by one. An empty table gives
 
 from __future__ import annotations
 
+import gc
 import os
 import zlib
+from array import array
 from bisect import insort
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -31,14 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from predial.llm.support import keep
+from predial.llm.support import Recent, keep
 
 CAPACITY = 2048
 END_OF_DOCUMENT = 0
-BUCKET_ROWS = 1000  # pieces of a length that are ranked together
+BUCKET_ROWS = 200  # pieces of a length that are ranked together
 BUCKETS = 200_000  # buckets at most, besides one for each length
-CACHE_ENTRIES = 300_000  # words a worker remembers
+CACHE_ENTRIES = 400_000  # words a worker remembers
 LONGEST_WORD = 64
+MARKS = frozenset((b".", b",", b";", b":", b"!", b"?"))
 
 PIECE = "doc_id {kind}, piece int, start long, length long, ids_crc32 long, ids binary"
 
@@ -47,31 +50,51 @@ PIECE = "doc_id {kind}, piece int, start long, length long, ids_crc32 long, ids
 
 
 class WordTokenizer:
-    """Ids of texts by a tokenizer that never merges across ASCII white space."""
+    """Ids of texts by a tokenizer that never merges across ASCII white space.
+
+    It ignores the case of letters and takes punctuation apart from words, so a word is
+    remembered in small letters, and one that ends in a mark by its two parts.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        gc.set_threshold(1_000_000, 50, 50)  # many small lists, none of them in cycles
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.recent = Recent(CACHE_ENTRIES, LONGEST_WORD)
+
+    def _tokenise(self, words: list[bytes]) -> dict[bytes, bytes]:
+        encoded = self.tokenizer.encode_batch_fast(
+            [w.decode() for w in words], add_special_tokens=False
+        )
+        return {w: array("I", e.ids).tobytes() for w, e in zip(words, encoded)}
+
+    def _learn(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
+        marked = {w for w in words if w[-1:] in MARKS and w[-2:-1].isalnum()}
+        plain = set(words) - marked
+        parts, new = self.recent.fill({p for w in marked for p in (w[:-1], w[-1:])} - plain)
+        parts.update(self._tokenise(list(plain | new)))
+        parts.update([(w, parts[w[:-1]] + parts[w[-1:]]) for w in marked])
+        return parts
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         """Packed little-endian ids of each text. Words that are new are tokenised once."""
-        if len(self.known) > CACHE_ENTRIES:
-            self.known = {}
-        known = self.known
-        words_of = [(text or "").encode().split() for text in texts]
-        ids_of = [list(map(known.get, words)) for words in words_of]
+        words_of = []
+        for text in texts:
+            raw = (text or "").encode()
+            # A special token's string counts in small letters only.
+            words_of.append((raw if b"<|" in raw else raw.lower()).split())
+        recent = self.recent.young.get
+        ids_of = [list(map(recent, words)) for words in words_of]
         gaps = [(words, ids) for words, ids in zip(words_of, ids_of) if None in ids]
-        new = list({w for words, ids in gaps for w, i in zip(words, ids) if i is None})
-        encoded = self.tokenizer.encode_batch_fast(
-            [w.decode() for w in new], add_special_tokens=False
+        found, new = self.recent.fill(
+            {w for words, ids in gaps for w, i in zip(words, ids) if i is None}
         )
-        found = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, encoded)}
+        found.update(self._learn(new))
         for words, ids in gaps:
             ids[:] = [found[w] if i is None else i for w, i in zip(words, ids)]
-        known.update((w, ids) for w, ids in found.items() if len(w) <= LONGEST_WORD)
+        self.recent.add(found)
         return [b"".join(ids) for ids in ids_of]
 
 

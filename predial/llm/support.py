@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,3 +73,28 @@ def full_text(text: str) -> Column:
 def crc_of_id(doc_id: str) -> Column:
     """crc32 of the id written as text; null where the id is null."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary"))
+
+
+class Recent:
+    """A bounded memory: the latest entries and those of the generation before."""
+
+    def __init__(self, entries: int, longest: int):
+        self.entries, self.longest = entries, longest
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def fill(self, keys: Iterable) -> tuple[dict, set]:
+        """What is known of `keys`, and what is not."""
+        young, old, known, unknown = self.young, self.old, {}, set()
+        for key in keys:
+            value = young.get(key) or old.get(key)
+            if value is None:
+                unknown.add(key)
+            else:
+                known[key] = value
+        return known, unknown
+
+    def add(self, found: dict) -> None:
+        self.young.update((k, v) for k, v in found.items() if len(k) <= self.longest)
+        if len(self.young) > self.entries:
+            self.young, self.old = {}, self.young
