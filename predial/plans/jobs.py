@@ -52,8 +52,7 @@ def run_profile(
     with Stage(spark, "profile") as stage:
         values = refuse_ragged(stage.keep(profile.with_values(raw), "values"), path)
         frames = vars(profile.profile_prices(values, today, exact, keep=stage.keep))
-        frames["counts"] = counts = stage.keep(frames["counts"], "counts")
-        total = counts.filter("grupo = 'total'").first()["registros"]
+        total = frames["counts"].filter("grupo = 'total'").first()["registros"]
         frames["sample"] = profile.sample_view(values, max_rows=sample_rows, total=total)
         for name, frame in frames.items():
             target = f"{output.rstrip('/')}/{name}"

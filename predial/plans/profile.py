@@ -24,10 +24,8 @@ from predial.operators.counting import as_rows, tally
 from predial.operators.duplicates import exact_duplicates, most_repeated, repeated
 from predial.operators.quantiles import (
     QUARTILES,
-    approx_quantiles,
     box_summary,
     collapse,
-    describe,
     exact_quantiles,
     fences,
     iqr_report,
@@ -98,26 +96,77 @@ def controls(values: DataFrame, today: dt.date | None = None) -> DataFrame:
     return as_rows(tally(values, _controls(today)), "control", "registros")
 
 
-def profile_counts(values: DataFrame, today: dt.date | None = None) -> DataFrame:
-    """Rows, nulls, blanks and quality counters together: one scan for all of them."""
+def _all_counters(today: dt.date | None) -> dict[tuple[str, str], Column]:
     groups = {
         "total": {"registros": F.lit(True)},
         "nulos": _nulls(),
         "vacios": _blanks(),
         "controles": _controls(today),
     }
-    flat = {f"{g}.{name}": cond for g, conds in groups.items() for name, cond in conds.items()}
-    # Dots in column names would need quoting; position does without them.
-    counted = tally(values, {f"c{i}": cond for i, cond in enumerate(flat.values())})
+    return {(g, name): cond for g, conds in groups.items() for name, cond in conds.items()}
+
+
+def _counts_of(summary: DataFrame, today: dt.date | None) -> DataFrame:
     labelled = [
         F.struct(
-            F.lit(key.split(".")[0]).alias("grupo"),
-            F.lit(key.split(".")[1]).alias("control"),
+            F.lit(group).alias("grupo"),
+            F.lit(name).alias("control"),
             F.col(f"c{i}").alias("registros"),
         )
-        for i, key in enumerate(flat)
+        for i, (group, name) in enumerate(_all_counters(today))
+    ]
+    return summary.select(F.inline(F.array(*labelled)))
+
+
+def profile_counts(values: DataFrame, today: dt.date | None = None) -> DataFrame:
+    """Rows, nulls, blanks and quality counters together: one scan for all of them."""
+    conditions = _all_counters(today).values()
+    counted = tally(values, {f"c{i}": cond for i, cond in enumerate(conditions)})
+    return _counts_of(counted, today)
+
+
+STATISTICS = ("registros", "media", "desviacion", "minimo", "maximo")
+
+
+def summarise(
+    values: DataFrame,
+    today: dt.date | None = None,
+    error: float = QUARTILE_ERROR,
+    quartiles: bool = True,
+) -> DataFrame:
+    """All counters, the statistics and the approximate quartiles: one row, one pass."""
+    figures = [F.count_if(cond).alias(f"c{i}") for i, cond in enumerate(_all_counters(today).values())]
+    wanted = F.array(*(F.lit(float(p)) for p in QUARTILES))
+    for price in PRICES:
+        value = F.col(value_of(price))
+        found = (F.count(value), F.avg(value), F.stddev_samp(value), F.min(value), F.max(value))
+        figures += [f.alias(f"{name}_{price}") for name, f in zip(STATISTICS, found)]
+        if quartiles:
+            positive = F.when(value > 0, value)
+            near = F.percentile_approx(positive, wanted, int(1 / error))
+            figures.append(near.alias(f"cuartiles_{price}"))
+    return values.agg(*figures)
+
+
+def _statistics_of(summary: DataFrame) -> DataFrame:
+    rows = [
+        F.struct(F.lit(c).alias("precio"), *(F.col(f"{s}_{c}").alias(s) for s in STATISTICS))
+        for c in PRICES
+    ]
+    return summary.select(F.inline(F.array(*rows)))
+
+
+def _quartiles_of(summary: DataFrame) -> DataFrame:
+    """As `approx_quantiles`: a price without positive values has no rows."""
+    cells = [
+        F.struct(
+            F.lit(c).alias("precio"), F.lit(float(p)).alias("p"),
+            F.col(f"cuartiles_{c}")[i].alias("cuantil"),
+        )
+        for c in PRICES
+        for i, p in enumerate(QUARTILES)
     ]
-    return counted.select(F.inline(F.array(*labelled)))
+    return summary.select(F.inline(F.array(*cells))).filter(F.col("cuantil").isNotNull())
 
 
 def repeated_sales(values: DataFrame) -> DataFrame:
@@ -165,26 +214,27 @@ def profile_prices(
 ) -> PriceProfile:
     """All reports over `with_values`.
 
-    Quartiles carry a relative rank error, or are exact at the cost of a shuffle of
-    the different prices. Reports share intermediate results: `keep` (`Stage.keep`)
-    stores those so that they are computed once; without it all stays lazy.
+    Counters, statistics and approximate quartiles come from one pass. Quartiles carry a
+    relative rank error, or are exact at the cost of a shuffle of the different prices.
+    Reports share intermediate results: `keep` (`Stage.keep`) stores those so that they are
+    computed once; without it all stays lazy.
     """
-    prices = read_prices(values)
-    positive = positive_values(prices, PRICES)
+    summary = keep(summarise(values, today, error, quartiles=not exact), "summary")
+    positive = positive_values(read_prices(values), PRICES)
     if exact:
         positive = keep(collapse(positive), "prices")
         found = exact_quantiles(positive, QUARTILES)
     else:
-        found = approx_quantiles(positive, QUARTILES, error)
+        found = _quartiles_of(summary)
     figures = keep(spread(positive, keep(fences(found), "limits")), "spread")
     groups = keep(repeated_sales(values), "repeated")
     return PriceProfile(
-        counts=profile_counts(values, today),
+        counts=_counts_of(summary, today),
         duplicates=exact_duplicates(values.select(*RAW_SALES)),
         repeated=groups.agg(F.count("*").alias("combinaciones")),
         most_repeated=most_repeated(groups, examples),
         unreadable_dates=unreadable_dates(values).limit(examples),
-        statistics=describe(prices, PRICES),
+        statistics=_statistics_of(summary),
         iqr=iqr_report(figures),
         box=box_summary(figures),
     )

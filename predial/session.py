@@ -42,7 +42,8 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ContractError("spark.checkpoint.dir is not set: name a shared folder in it")
     root = tempfile.mkdtemp(prefix="predial-")
     spark.conf.set("spark.checkpoint.dir", root)

@@ -8,6 +8,7 @@ from predial.contracts import CLP_CAP, RAW_SALES, SCHEMAS, UF_CAP, ContractError
 from predial.functions import rules
 from predial.operators.casting import check_schema
 from predial.sinks.guards import measure
+from predial.operators import quantiles
 from predial.plans import prices, profile
 from workload import views
 
@@ -166,3 +167,18 @@ def test_audit_knows_what_the_guards_ask(spark):
         for name, n in measure(final, "precios_transaccionales").items():
             assert audit[name] == n
     assert audit["not finite precio_clp"] == audit["not finite precio_uf"] == 1
+
+
+def test_one_pass_summary_agrees_with_the_single_reports(spark):
+    values = profile.with_values(views.raw_sales(spark, "/root/testdata/sf0.001"))
+    today = dt.date(2001, 1, 1)
+    found = profile.profile_prices(values, today)
+    assert rows(found.counts) == rows(profile.profile_counts(values, today))
+    plain = quantiles.describe(profile.read_prices(values), profile.PRICES)
+    for a, b in zip(rows(found.statistics), rows(plain)):
+        assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], rel=1e-9)
+    positive = quantiles.positive_values(profile.read_prices(values), profile.PRICES)
+    limits = quantiles.fences(quantiles.approx_quantiles(positive))
+    assert rows(found.iqr) == rows(quantiles.iqr_report(quantiles.spread(positive, limits)))
+    empty = profile.profile_prices(values.filter("false"), today)
+    assert empty.iqr.count() == 0 and empty.statistics.count() == 2
