@@ -11,11 +11,16 @@ margin for parts without shingles, whose signatures would say nothing and are le
 set that lacks more parts than the margin allows signs again under another partition, so
 the join stays exact: no link is lost, and every candidate is verified on whole texts.
 
-Signatures are grouped without writing out the pairs inside a group: each member is
-compared with the group's smallest id (groups of three compare all). Members that the
-links found so far don't join to one component are compared with further centres, eight
-times as many in every round, until no group is open; pairs inside a component need no
-comparison. Sets that are equal are one class from the start.
+Signatures are grouped without writing out the pairs inside a group. First each member is
+compared with the group's smallest id. Groups whose other members the links then found
+don't join to one component are open: their members are compared across components, in
+blocks of bounded size, by sketches; at first for the nearest pairs, as few as it takes to
+join what can be joined, and then, where that left components apart, for all. A sketch has one bit per bucket of shingles, the parity
+of how many fall into it, so the bits in which two sketches differ are no more than the
+shingles in which the sets differ; a pair with more of them than similar sets may have is
+out, and only the others are written down. Those, and the pairs with a centre that the
+sketches leave, are verified on whole texts. Sets that are equal are one class from the
+start.
 
 Defined results: null, empty and blank texts have no shingles and no links. Rows that
 share an id are one node; rows without id have no component. An empty table gives no rows.
@@ -39,7 +44,7 @@ WORDS, PERCENT = 5, 80
 BAND_STEPS = 2  # a band spans this many times the size ratio of similar sets
 SMALL_DIFFERENCE = 12  # bands of at most so many differences enumerate subsets of parts
 PARTITIONS = 4  # tried by sets that lack parts, before a last signature for all such sets
-MORE_CENTRES = 8
+BLOCK = 2000  # members of an open group that are compared at once, with as many others
 REMEMBERED_SETS = 100_000  # of a task, to sign equal sets once
 
 
@@ -154,8 +159,35 @@ def _read(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     return df.select(F.col(doc_id).alias("doc_id"), full_text(text).alias("text"))
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """Parities of the shingles in each of two to four times as many buckets."""
+    buckets = max(64, 1 << max(0, 2 * len(shingles) - 1).bit_length())
+    place = (mixed(shingles, 55) & np.uint64(buckets - 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=buckets) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").tobytes()
+
+
+def _folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of words, all as short as the shortest: halves add up."""
+    width = min(map(len, sketches)) // 8
+    rows = np.empty((len(sketches), width), np.uint64)
+    for i, value in enumerate(sketches):
+        words = np.frombuffer(value, np.uint64)
+        rows[i] = np.bitwise_xor.reduce(words.reshape(-1, width), axis=0)
+    return rows
+
+
+def _possible(
+    first: np.ndarray, second: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int
+) -> np.ndarray:
+    """Whether sets of sizes n and m with these sketches can be similar (broadcasting)."""
+    apart = np.bitwise_count(first ^ second).sum(axis=-1, dtype=np.int64)
+    sizes = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+    return sizes & ((100 + percent) * apart <= (100 - percent) * (n + m))
+
+
 def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles and the 128 bits of each row's set."""
+    """doc_id, n_shingles, the 128 bits of each row's set, and its sketch."""
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,11 +201,13 @@ def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([d[0] for d in digests], pa.int64()),
                     pa.array([d[1] for d in digests], pa.int64()),
+                    pa.array([sketch(s) for s in sets], pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "d1", "d2"],
+                names=["doc_id", "n_shingles", "d1", "d2", "sketch"],
             )
 
-    return rows.mapInArrow(run, f"doc_id {kind}, n_shingles long, d1 long, d2 long")
+    schema = f"doc_id {kind}, n_shingles long, d1 long, d2 long, sketch binary"
+    return rows.mapInArrow(run, schema)
 
 
 def signed(rows: DataFrame, words: int, percent: int) -> DataFrame:
@@ -202,17 +236,14 @@ def signed(rows: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _groups(signatures_of: DataFrame) -> DataFrame:
-    """Members of every group of a signature but its first: centre, position, group size."""
+    """Members of every group of a signature but its first, which is the centre."""
     whole = Window.partitionBy("signature")
-    order = whole.orderBy("doc_id")
     return signatures_of.select(
         "signature",
         "doc_id",
-        F.first("doc_id").over(order).alias("centre"),
-        F.lag("doc_id").over(order).alias("previous"),
-        F.row_number().over(order).alias("nth"),
+        F.min("doc_id").over(whole).alias("centre"),
         F.count("*").over(whole).alias("members"),
-    ).filter("members > 1")
+    ).filter("doc_id <> centre")
 
 
 def _as_pairs(pairs: DataFrame, class_of: DataFrame) -> DataFrame:
@@ -225,6 +256,131 @@ def _as_pairs(pairs: DataFrame, class_of: DataFrame) -> DataFrame:
     ).distinct()
 
 
+def _sketched(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that the sketches don't rule out."""
+    kind = pairs.schema["a"].dataType.simpleString()
+    for end in ("a", "b"):
+        own = sketches.select(
+            F.col("class").alias(end), F.col("n").alias(f"n_{end}"), F.col("sketch").alias(f"s_{end}")
+        )
+        pairs = pairs.join(own, end)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keeps = np.zeros(batch.num_rows, bool)
+            n, m = (batch[c].to_numpy() for c in ("n_a", "n_b"))
+            first, second = (batch[c].to_pylist() for c in ("s_a", "s_b"))
+            for i in range(len(keeps)):
+                both = _folded([first[i], second[i]])
+                keeps[i] = _possible(both[0], both[1], n[i], m[i], percent)
+            yield batch.select(["a", "b"]).filter(pa.array(keeps))
+
+    found = pairs.select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(run, f"a {kind}, b {kind}")
+    return found.distinct()
+
+
+def _spanning(
+    words: np.ndarray, n: np.ndarray, component: np.ndarray, own: np.ndarray, percent: int
+) -> list[tuple[int, int]]:
+    """Nearest pairs that join what can be joined: a least spanning forest, by Prim's method.
+
+    Members of one component are joined from the start; of two blocks, `own` tells them
+    apart, only pairs across count.
+    """
+    far = 1 << 40
+    waiting = np.ones(len(n), bool)
+    distance, parent, pairs = np.full(len(n), far), np.full(len(n), -1), []
+    across = own.min() != own.max()
+    for _ in range(len(n)):
+        v = int(np.argmin(np.where(waiting, distance, far + 1)))
+        if 0 <= distance[v] < far:
+            pairs.append((int(parent[v]), v))
+        waiting[v] = False
+        apart = np.bitwise_count(words ^ words[v]).sum(axis=1, dtype=np.int64)
+        fits = _possible(words[v], words, n[v], n, percent)
+        if across:
+            fits &= own != own[v]
+        apart = np.where(component == component[v], -1, np.where(fits, apart, far))
+        nearer = waiting & (apart < distance)
+        distance[nearer], parent[nearer] = apart[nearer], v
+    return pairs
+
+
+def _crossing(members: DataFrame, percent: int, spanning: bool) -> DataFrame:
+    """Pairs (a, b) of classes in open groups, of different components, that can be similar.
+
+    `members`: signature, size (of the group, at most), class, component, n, sketch. Groups
+    of more than a block are dealt by pairs of blocks. With `spanning` only as many pairs a
+    group as it takes to join all members that can be joined, the nearest ones.
+    """
+    kind = members.schema["class"].dataType.simpleString()
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("class"), blocks.cast("long")).cast("int")
+    others = F.sequence(F.lit(0), blocks - 1)
+    dealt = members.withColumn("own", own).withColumn("other", F.explode(others)).select(
+        "signature",
+        F.least("own", "other").alias("left"),
+        F.greatest("own", "other").alias("right"),
+        "own", "class", "component", "n", "sketch",
+    )
+    key = ["signature", "left", "right"]
+
+    def compare(rows: list[tuple]) -> tuple[list, list]:
+        left, right, own, names, component, n, sketches = zip(*rows)
+        words, n, own = _folded(list(sketches)), np.array(n), np.array(own)
+        _, component = np.unique(np.array(component), return_inverse=True)
+        a, b = [], []
+        if spanning:
+            for x, y in _spanning(words, n, component, own, percent):
+                low, high = sorted((names[x], names[y]))
+                a.append(low)
+                b.append(high)
+            return a, b
+        first = np.flatnonzero(own == left[0])
+        second = np.flatnonzero(own == right[0])
+        step = max(1, (1 << 22) // max(1, words.shape[1] * len(second)))
+        for i in range(0, len(first), step):
+            at = first[i : i + step, None]
+            near = _possible(words[at], words[second][None], n[at], n[second][None], percent)
+            near &= component[at] != component[second][None]
+            if left[0] == right[0]:
+                near &= at < second[None]
+            for x, y in zip(*np.nonzero(near)):
+                low, high = sorted((names[at[x, 0]], names[second[y]]))
+                a.append(low)
+                b.append(high)
+        return a, b
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        present, waiting = None, []
+        columns = ("left", "right", "own", "class", "component", "n", "sketch")
+
+        def batch_of(a: list, b: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(a, id_type), pa.array(b, id_type)], names=["a", "b"]
+            )
+
+        id_type = None
+        for batch in batches:
+            id_type = batch["class"].type
+            found_a, found_b = [], []
+            rows = list(zip(*(batch[c].to_pylist() for c in columns)))
+            for signature, row in zip(batch["signature"].to_pylist(), rows):
+                if (signature, row[0], row[1]) != present:
+                    if len(waiting) > 1:
+                        a, b = compare(waiting)
+                        found_a += a
+                        found_b += b
+                    present, waiting = (signature, row[0], row[1]), []
+                waiting.append(row)
+            yield batch_of(found_a, found_b)
+        if len(waiting) > 1:
+            yield batch_of(*compare(waiting))
+
+    placed = dealt.repartition(*key).sortWithinPartitions(*key)
+    return placed.mapInArrow(run, f"a {kind}, b {kind}").distinct()
+
+
 def _verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose texts are similar."""
     involved = pairs.select("a").union(pairs.select("b")).distinct().toDF("doc_id")
@@ -247,14 +403,6 @@ def _verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> Da
     return compared.mapInArrow(run, f"a {kind}, b {kind}")
 
 
-def _labelled(members: DataFrame, class_of: DataFrame, components: DataFrame) -> DataFrame:
-    """Members with their class and its present component."""
-    of = class_of.join(components, class_of["class"] == components["node"], "left").select(
-        "doc_id", "class", F.coalesce("component", "class").alias("component")
-    )
-    return members.join(of, "doc_id")
-
-
 def link(
     df: DataFrame,
     words: int = WORDS,
@@ -270,8 +418,13 @@ def link(
     sets = keep(shingle_sets(rows, words), "sets")
     full = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = full.groupBy("d1", "d2").agg(F.min("doc_id").alias("class"))
-    in_class = full.join(classes, ["d1", "d2"]).select("doc_id", "class").distinct()
-    in_class = keep(in_class, "classes")
+    in_class = keep(full.join(classes, ["d1", "d2"]).drop("d1", "d2"), "classes")
+    sketches = keep(
+        in_class.filter("doc_id = class")
+        .select("class", F.col("n_shingles").alias("n"), "sketch").distinct(),
+        "sketches",
+    )
+    in_class = in_class.select("doc_id", "class").distinct()
     class_of = in_class.groupBy("doc_id").agg(F.min("class").alias("class"))
     # Rows that share an id tie the classes of their texts together.
     links = in_class.join(class_of.withColumnRenamed("class", "first"), "doc_id")
@@ -279,39 +432,31 @@ def link(
 
     signing = rows.filter("doc_id IS NOT NULL")
     groups = keep(_groups(signed(signing, words, percent)), "groups")
-    pairs = groups.filter("nth > 1").select(F.col("centre").alias("left"), F.col("doc_id").alias("right"))
-    third = groups.filter("nth = 3").select(F.col("previous").alias("left"), F.col("doc_id").alias("right"))
-    pairs = keep(_as_pairs(pairs.union(third), class_of), "pairs")
+    with_centre = groups.select(F.col("centre").alias("left"), F.col("doc_id").alias("right"))
+    pairs = keep(_sketched(_as_pairs(with_centre, in_class), sketches, percent), "pairs")
     links = keep(links.union(_verified(pairs, rows, words, percent)), "links")
     components = smallest_reachable(links)
 
-    compared, centres = pairs, 1
-    members = groups.filter("members > 3").select("signature", "nth", "doc_id")
-    while True:
-        members = _labelled(members, class_of, components)
-        rest = members.filter(F.col("nth") > centres)
-        still = rest.groupBy("signature").agg(
+    others = groups.filter("members > 2").select("signature", "doc_id", "members")
+    for spanning in (True, False):
+        labelled = in_class.join(components, in_class["class"] == components["node"], "left")
+        labelled = labelled.select(
+            "doc_id", "class", F.coalesce("component", "class").alias("component")
+        )
+        present = keep(others.join(labelled, "doc_id"), "others")
+        still = present.groupBy("signature").agg(
             F.min("component").alias("low"), F.max("component").alias("high")
         ).filter("low <> high").select("signature")
-        members = keep(members.join(still, "signature", "left_semi"), "open")
-        if members.isEmpty():
-            break
-        more = centres * MORE_CENTRES
-        chosen = members.filter((F.col("nth") > centres) & (F.col("nth") <= more)).select(
-            "signature",
-            F.col("nth").alias("place"),
-            F.col("class").alias("left"),
-            F.col("component").alias("of_left"),
+        open_groups = keep(present.join(still, "signature", "left_semi"), "open")
+        members = open_groups.groupBy("signature", "class", "component").agg(
+            F.max("members").alias("size")
         )
-        crossing = members.join(chosen, "signature").filter(
-            "nth > place AND component <> of_left"
-        ).select(F.least("class", "left").alias("a"), F.greatest("class", "left").alias("b"))
-        pairs = keep(crossing.distinct().join(compared, ["a", "b"], "left_anti"), "pairs")
-        compared = compared.union(pairs)
+        pairs = keep(_crossing(members.join(sketches, "class"), percent, spanning), "pairs")
+        if pairs.isEmpty():
+            break
         links = keep(links.union(_verified(pairs, rows, words, percent)), "links")
         components = smallest_reachable(links)
-        members = members.select("signature", "nth", "doc_id")
-        centres = more
+        others = open_groups.select("signature", "doc_id", "members")
 
     found = class_of.join(components, class_of["class"] == components["node"], "left").select(
         "doc_id", F.coalesce("component", "class").alias("component_id")

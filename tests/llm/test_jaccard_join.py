@@ -117,7 +117,35 @@ def test_hot_group_of_near_copies_is_not_paired_out(spark):
         F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.when(
             i == F.col("id") % 100, F.concat(F.lit("x"), F.col("id").cast("string")),
         ).otherwise(i.cast("string")))).alias("text"))
-    pairs = jaccard_join._groups(jaccard_join.signed(rows, 4, 85))
-    assert pairs.count() < 3000 * 200
+    members = jaccard_join._groups(jaccard_join.signed(rows, 4, 85))
+    assert members.count() < 3000 * 100
     found = jaccard_join.link(rows, 4, 85)
     assert found.filter("component_id <> 0").count() == 0
+
+
+def test_open_groups_are_compared_in_blocks(spark, monkeypatch):
+    """Families that share half of their text and are not similar, in blocks of seven."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 7)
+    rng = np.random.default_rng(9)
+    shared = [f"s{i}" for i in range(60)]
+    rows = []
+    for i in range(150):
+        own = [f"o{i % 25}x{k}" for k in range(25)]
+        if i >= 25:
+            own[int(rng.integers(25))] = f"e{i}"
+        rows.append((i, " ".join(shared + own)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert linked(df, 4, 85) == brute(rows, 4, 85)
+
+
+def test_sketches_never_rule_out_a_similar_pair():
+    rng = np.random.default_rng(3)
+    for _ in range(400):
+        a = np.unique(rng.integers(0, 2**63, int(rng.integers(1, 700)), dtype=np.uint64))
+        b = np.unique(np.concatenate([a[: int(len(a) * rng.uniform(0.5, 1))], rng.integers(
+            0, 2**63, int(rng.integers(0, 60)), dtype=np.uint64)]))
+        words = jaccard_join._folded([jaccard_join.sketch(a), jaccard_join.sketch(b)])
+        apart = int(np.bitwise_count(words[0] ^ words[1]).sum())
+        assert apart <= len(np.setxor1d(a, b))
+        if similar(a, b, 80):
+            assert jaccard_join._possible(words[0], words[1], len(a), len(b), 80)
