@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from predial.llm.support import full_text
+from predial.llm.support import full_text, smallest_hashes
 
 BUCKETS = 1 << 18
 SAMPLE = 6000  # labelled rows that the model is fitted on, at most
@@ -187,12 +187,12 @@ def train(
     taught = taught.filter("doc_id IS NOT NULL AND label IS NOT NULL")
     if teaches is not None:
         taught = taught.filter(teaches)
-    chosen = (
+    agreed = (
         taught.groupBy("doc_id").agg(F.avg("label").alias("label"))
         .filter("label <> 0.5")
         .select("doc_id", F.round("label").cast("double").alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
+    chosen = smallest_hashes(agreed, "doc_id", sample)
     texts = documents.select(F.col(doc_id).alias("doc_id"), full_text(text).alias("text"))
     rows = texts.join(F.broadcast(chosen), "doc_id").limit(sample)
 

@@ -65,6 +65,19 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def smallest_hashes(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """At most `rows` rows, those whose key has the smallest hash: the same in any order.
+
+    Only about four times as many rows as wanted reach the final ordering, however large
+    `df` is; the others are filtered by their hash where they are read.
+    """
+    total = df.count()
+    if total > 4 * rows:
+        cutoff = 2**64 * 4 * rows // total - 2**63
+        df = df.filter(F.xxhash64(key) < F.lit(cutoff))
+    return df.orderBy(F.xxhash64(key), key).limit(rows)
+
+
 def full_text(text: str) -> Column:
     """The text, null read as empty."""
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
