@@ -52,14 +52,14 @@ def _mixed(values: np.ndarray, salt: int) -> np.ndarray:
 def shape(word: str) -> str:
     """`A` for capitals, `a` for small letters, `0` for digits, other characters as they are."""
     signs = []
-    for run in _RUNS.findall(word[:200]):
+    for run in _RUNS.findall(word):
         first = run[0]
         sign = "0" if first.isdigit() else "a" if first.islower() else (
             ("AA" if len(run) > 1 else "A") if first.isupper() else first
         )
         if signs[-3:] != [sign] * 3:
             signs.append(sign)
-    return "".join(signs[:12])
+    return "".join(signs)
 
 
 class Words:

@@ -75,3 +75,8 @@ def test_labels_teach_only_where_allowed(spark):
                                 .otherwise(F.col("quality")))
     odd = F.col("doc_id") % 2 == 1
     assert np.array_equal(quality.train(df, labels, odd), quality.train(df, flipped, odd))
+
+
+def test_shapes_are_of_whole_words():
+    assert quality.shape("a" * 300 + "9") != quality.shape("a" * 300 + "!")
+    assert quality.shape("a1" * 8 + "B-") != quality.shape("a1" * 8 + "-B")
