@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from predial.llm.support import fresh, full_text, keep
@@ -118,15 +118,18 @@ def drop_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     """`df` with one row of each different text, the one with the largest id; all columns."""
     columns = df.columns
     winners = keep(winners_of(_rows(df, doc_id, text, sha256), False).drop("text"), "copies")
-    mark = fresh(df, "digest")
-    nth = fresh(df, "nth")
-    stays = winners.select(F.col("digest").alias("stay_digest"), F.col("keep_id").alias("stay_id"))
-    marked = df.withColumn(mark, F.unhex(sha256(full_text(text))))
-    kept = marked.join(
-        stays,
-        (marked[mark] == stays["stay_digest"]) & marked[doc_id].eqNullSafe(stays["stay_id"]),
-        "left_semi",
-    )
-    # A row may be repeated with the same id; the join has put such rows together.
-    same = Window.partitionBy(mark, doc_id, text).orderBy(F.lit(0))
-    return kept.withColumn(nth, F.row_number().over(same)).filter(F.col(nth) == 1).select(*columns)
+    mark, no_id, id_text, row = (fresh(df, name) for name in ("digest", "no_id", "id_text", "row"))
+    keys = [mark, no_id, id_text]
+
+    def keyed(digest: Column, own: Column) -> list[Column]:
+        """Null ids are equal here; the join is by plain columns, as the groups are."""
+        return [digest.alias(mark), own.isNull().alias(no_id),
+                F.coalesce(own.cast("string"), F.lit("")).alias(id_text)]
+
+    stays = winners.select(*keyed(F.col("digest"), F.col("keep_id")))
+    whole = F.struct(*(F.col(f"`{c}`") for c in columns)).alias(row)
+    marked = df.select(*keyed(F.unhex(sha256(full_text(text))), F.col(doc_id)), whole)
+    # A row may be repeated with the same id; such rows are combined inside each task, before
+    # their whole texts are shuffled.
+    single = marked.groupBy(*keys).agg(F.first(row).alias(row))
+    return single.join(stays, keys, "left_semi").select(f"{row}.*")

@@ -64,3 +64,14 @@ def test_a_text_of_a_third_of_all_rows(spark):
     assert tuple(hot) == (10_000, 29_997, 29_997)
     plan = found._jdf.queryExecution().toString()
     assert "Python" not in plan and "Cartesian" not in plan
+
+
+def test_repeated_rows_are_combined_before_they_are_shuffled(spark):
+    rows = [(7, "hot", 1)] * 900 + [(None, "no id", 2)] * 50 + [(3, None, 3), (3, "", 4), (2, "hot", 5), (4, "x", 6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, `a.b` long").repartition(4)
+    kept = exact_dedup.drop_copies(df)
+    assert kept.columns == df.columns
+    got = sorted(((r[0], r[1] or "") for r in kept.collect()), key=str)
+    assert got == sorted([(7, "hot"), (None, "no id"), (3, ""), (4, "x")], key=str)
+    plan = kept._jdf.queryExecution().toString()
+    assert "Window" not in plan and "partial_first" in plan
