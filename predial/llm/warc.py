@@ -406,14 +406,27 @@ def read_pages(archive: Archive, keys: DataFrame) -> DataFrame:
 
 
 def resolved(records: DataFrame) -> DataFrame:
-    """`records` (stored) with each revisit's payload_bytes from the response it names."""
-    originals = records.filter("record_type = 'response'").groupBy(
-        F.col("page_id").alias("original"), F.col("payload_digest").alias("digest")
-    ).agg(F.max("payload_bytes").alias("bytes"))
-    same = (F.col("refers_to") == F.col("original")) & (F.col("payload_digest") == F.col("digest"))
-    joined = records.join(originals, same, "left")
+    """`records` (stored) with each revisit's payload_bytes from the response it names.
+
+    Responses are joined once for each salt that their revisits have, so the revisits of one
+    response are spread over `SALTS` places.
+    """
+    response = F.col("record_type") == "response"
+    named = F.when(response, F.col("page_id")).otherwise(F.col("refers_to"))
+    bit = F.expr("shiftleft(1L, row_salt)")
+    salted = records.withColumn("row_salt", salt_of("page_id"))
+    originals = salted.groupBy(named.alias("original"), F.col("payload_digest").alias("digest")).agg(
+        F.max(F.when(response, F.col("payload_bytes"))).alias("bytes"),
+        F.bit_or(F.when(~response, bit)).alias("salts"),
+    )
+    same = (
+        (F.col("refers_to") == F.col("original"))
+        & (F.col("payload_digest") == F.col("digest"))
+        & (F.col("row_salt") == F.col("salt"))
+    )
+    joined = salted.join(per_salt(originals), same, "left")
     size = F.coalesce("payload_bytes", "bytes")
-    return joined.withColumn("payload_bytes", size).drop("original", "digest", "bytes")
+    return joined.withColumn("payload_bytes", size).drop("original", "digest", "bytes", "salt", "row_salt")
 
 
 def keys_of(df: DataFrame, page_id: str = "page_id", url: str = "url") -> DataFrame:

@@ -1,10 +1,12 @@
 import base64
 import gzip
 import hashlib
+from collections import Counter
 
 import pytest
 from edge_cases import SF
 from pyarrow import fs
+from pyspark.sql.functions import spark_partition_id
 
 from predial.llm import warc
 from predial.llm.support import keep, prepare
@@ -101,3 +103,23 @@ def test_given_pages(spark):
     got = read(warc.write(df), df).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()
     assert sorted(map(tuple, got), key=str) == brute(rows)
+
+
+def test_revisits_of_one_page_are_spread(spark):
+    off = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in off}
+    rows = [(0, "response", "D", None, 9), (1, "response", "E", None, 5)]
+    rows += [(i, "revisit", "D", 0, None) for i in range(2, 2002)] + [(None, "revisit", "E", 1, None)] * 2
+    df = spark.createDataFrame(
+        rows, "page_id long, record_type string, payload_digest string, refers_to long, payload_bytes long")
+    try:
+        for k, v in off.items():
+            spark.conf.set(k, v)
+        found = warc.resolved(df)
+        assert found.columns == df.columns
+        parts = found.withColumn("part", spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((r.payload_digest, r.payload_bytes) for r in parts) == [("D", 9)] * 2001 + [("E", 5)] * 3
+    assert max(Counter(r.part for r in parts).values()) < len(rows) / 2
