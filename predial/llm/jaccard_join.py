@@ -33,10 +33,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from predial.llm.components import smallest_reachable
+from predial.llm.exact_dedup import per_salt, salt_of
 from predial.llm.shingles import Shingler, mixed, set_digest, similar
 from predial.llm.support import fresh, full_text, keep
 
@@ -236,14 +237,19 @@ def signed(rows: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _groups(signatures_of: DataFrame) -> DataFrame:
-    """Members of every group of a signature but its first, which is the centre."""
-    whole = Window.partitionBy("signature")
-    return signatures_of.select(
-        "signature",
-        "doc_id",
-        F.min("doc_id").over(whole).alias("centre"),
-        F.count("*").over(whole).alias("members"),
-    ).filter("doc_id <> centre")
+    """Members of every group of a signature but its first, which is the centre.
+
+    Centre and count are combined inside each task first; members find them by signature and
+    salt, so a group that holds a third of all rows is spread over `SALTS` places.
+    """
+    salted = signatures_of.withColumn("salt", salt_of("doc_id"))
+    groups = salted.groupBy("signature").agg(
+        F.min("doc_id").alias("centre"),
+        F.count("*").alias("members"),
+        F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts"),
+    ).filter("members > 1")
+    placed = salted.join(per_salt(groups), ["signature", "salt"]).filter("doc_id <> centre")
+    return placed.select("signature", "doc_id", "centre", "members")
 
 
 def _as_pairs(pairs: DataFrame, class_of: DataFrame) -> DataFrame:
@@ -431,7 +437,7 @@ def link(
     links = links.filter("class <> first").select(F.col("first").alias("a"), F.col("class").alias("b"))
 
     signing = rows.filter("doc_id IS NOT NULL")
-    groups = keep(_groups(signed(signing, words, percent)), "groups")
+    groups = keep(_groups(keep(signed(signing, words, percent), "signatures")), "groups")
     with_centre = groups.select(F.col("centre").alias("left"), F.col("doc_id").alias("right"))
     pairs = keep(_sketched(_as_pairs(with_centre, in_class), sketches, percent), "pairs")
     links = keep(links.union(_verified(pairs, rows, words, percent)), "links")

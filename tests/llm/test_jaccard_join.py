@@ -149,3 +149,16 @@ def test_sketches_never_rule_out_a_similar_pair():
         assert apart <= len(np.setxor1d(a, b))
         if similar(a, b, 80):
             assert jaccard_join._possible(words[0], words[1], len(a), len(b), 80)
+
+
+def test_a_hot_signature_is_combined_before_it_is_shuffled(spark):
+    pairs = [(1, i) for i in range(500, 3500)] + [(s, s % 97) for s in range(2, 400)] + [(7, 3), (7, 3), (7, 1)]
+    df = spark.createDataFrame(pairs, "signature long, doc_id long")
+    members = defaultdict(list)
+    for s, i in pairs:
+        members[s].append(i)
+    want = sorted((s, i, min(ids), len(ids)) for s, ids in members.items() for i in ids if i != min(ids))
+    groups = jaccard_join._groups(df)
+    assert sorted(map(tuple, groups.collect())) == want
+    plan = groups._jdf.queryExecution().toString()
+    assert "Window" not in plan and "partial_min" in plan
