@@ -115,7 +115,10 @@ def mark_copies(
 
 
 def drop_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """`df` with one row of each different text, the one with the largest id; all columns."""
+    """`df` with one row of each different text, the one with the largest id; all columns.
+
+    Winners come from comparing whole texts; rows find them, and each other, by digest and id.
+    """
     columns = df.columns
     winners = keep(winners_of(_rows(df, doc_id, text, sha256), False).drop("text"), "copies")
     mark, no_id, id_text, row = (fresh(df, name) for name in ("digest", "no_id", "id_text", "row"))
