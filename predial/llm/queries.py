@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from predial.llm import byte_bpe, exact_dedup, jaccard_join, langid, packing, pii, quality, sharding, topk_search, warc
+from predial.llm import (
+    byte_bpe,
+    chat,
+    exact_dedup,
+    jaccard_join,
+    langid,
+    packing,
+    pii,
+    prefix_trie,
+    quality,
+    sharding,
+    topk_search,
+    warc,
+    whitening,
+)
 from predial.llm.support import crc_of_id, keep, prepare, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,3 +168,109 @@ def op4_warc(spark, sf_dir):
     return warc.resolved(keep(records, "read")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query
+def op11_chat_formatting(spark, sf_dir):
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marks = "</s>[INST] ok [/INST]"
+    planted = [(-7, 0, "user", marks), (-7, 1, "assistant", marks)]
+    extra = spark.createDataFrame(planted, conversations.schema)
+    return chat.digests(chat.format_chats(conversations.unionByName(extra)))
+
+
+def _chat_sql() -> str:
+    """Blocks are counted by a window; lengths are of texts escaped as the template does."""
+    t = chat.CHATML
+    pattern = t.pattern(False)
+    a_block, a_turn = len(t.start + t.role_end + t.end), len(t.turn)
+    return rf"""
+WITH c AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS txt FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+o AS (
+    SELECT *, row_number() OVER w AS nth, role IS DISTINCT FROM lag(role) OVER w AS opens,
+           length(regexp_replace(txt, '{pattern}', '\1\\\2\3', 'g')) AS chars,
+           length(regexp_replace(role, '{pattern}', '\1\\\2\3', 'g')) AS role_chars
+    FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, txt)),
+g AS (
+    SELECT conv_id, count(*) AS n_turns,
+           string_agg(role || chr(10) || txt || chr(10), '' ORDER BY nth) AS lines,
+           coalesce(string_agg(txt, '' ORDER BY nth) FILTER (WHERE role = '{t.loss_role}'), '') AS loss,
+           sum(chars + CASE WHEN opens THEN role_chars + {a_block} ELSE {a_turn} END) AS formatted_chars
+    FROM o GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(lines) AS turns_sha256, CAST(length(loss) AS bigint) AS loss_chars,
+       sha256(loss) AS loss_sha256, CAST(formatted_chars AS bigint) AS formatted_chars
+FROM g
+"""
+
+
+ORACLES["op11_chat_formatting"] = _chat_sql()
+
+
+def _rebuilt(turns: DataFrame) -> DataFrame:
+    """The first h turns of conversation c - c % 100, then those of c after its first h."""
+    turns = keep(turns, "turns")
+    # Not more than five turns of every hundredth conversation, each for a hundred others.
+    heads = turns.filter("conv_id % 100 = 0").select(
+        F.col("conv_id").alias("head_id"), F.slice("turns", 1, 5).alias("head")
+    )
+    h = F.pmod(crc_of_id("conv_id"), F.lit(6)).cast("int")
+    both = turns.withColumn("h", h).withColumn("head_id", F.expr("conv_id - conv_id % 100"))
+    head = F.when(F.col("head").isNull(), F.slice("turns", 1, 0)).otherwise(F.slice("head", F.lit(1), F.col("h")))
+    rest = F.slice("turns", F.col("h") + 1, F.size("turns"))
+    return both.join(heads, "head_id", "left").select(
+        "conv_id", F.concat(head, rest).alias("turns")
+    )
+
+
+@query
+def op12_prefix_trie(spark, sf_dir):
+    conversations = table(spark, sf_dir, "conversations")
+    return prefix_trie.trie(_rebuilt(prefix_trie.turns_of(conversations)))
+
+
+# crc32 of ASCII digits, bit by bit (0xEDB88320 is the fixed value of its polynomial); nodes
+# are lists of turns, and each one is joined to all of its prefixes.
+ORACLES["op12_prefix_trie"] = """
+WITH t AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS txt
+    FROM conversations WHERE conv_id IS NOT NULL),
+o AS (
+    SELECT conv_id, list({'role': role, 'txt': txt} ORDER BY turn NULLS FIRST, role,
+        sha256(strlen(role) || ':' || role || txt)) AS turns FROM t GROUP BY conv_id),
+c AS (
+    SELECT conv_id, turns, CAST(xor(4294967295::UBIGINT, list_reduce(
+        list_prepend(4294967295::UBIGINT, list_transform(string_split(CAST(conv_id AS varchar), ''),
+            lambda d: CAST(ascii(d) AS UBIGINT))),
+        lambda s, b: list_reduce(list_prepend(xor(s, b), [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0]),
+            lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)
+    )) % 6 AS bigint) AS h FROM o),
+r AS (
+    SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+    FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % 100),
+p AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM r),
+n AS (
+    SELECT turns[1:depth] AS key, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+           coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (WHERE len(turns) = depth), '') AS ends
+    FROM p GROUP BY ALL),
+k AS (SELECT key[1:depth - 1] AS key, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+f AS (
+    SELECT n.*, coalesce(k.n_children, 0) AS n_children,
+           CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * length(n.key[depth].txt) END AS saved
+    FROM n LEFT JOIN k ON n.key = k.key),
+u AS (SELECT f.*, unnest(range(0, depth + 1)) AS up FROM f),
+s AS (
+    SELECT key[1:up] AS key, CAST(sum(saved) AS bigint) AS saved_tokens,
+           count(*) FILTER (WHERE n_children = 0) AS n_leaves
+    FROM u GROUP BY 1)
+SELECT f.conv_id, f.depth, a.conv_id AS parent_conv_id, f.n_convs, f.n_children, s.n_leaves,
+       s.saved_tokens, sha256(f.ends) AS ends_sha256
+FROM f JOIN s ON s.key = f.key LEFT JOIN n a ON a.depth = f.depth - 1 AND a.key = f.key[1:f.depth - 1]
+"""
+
+
+@query
+def op13_embedding_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))

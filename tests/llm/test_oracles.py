@@ -10,7 +10,7 @@ from predial.llm import queries
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_query_against_sql(spark, name):
     db = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations", "pages"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     theirs = db.execute(queries.ORACLES[name])
     names = [d[0] for d in theirs.description]
