@@ -23,6 +23,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -57,22 +59,34 @@ class Template:
     def controls(self) -> tuple[str, ...]:
         return (self.start, self.role_end, self.turn, self.end, *self.foreign)
 
+    @property
+    def firsts(self) -> tuple[str, ...]:
+        return tuple(sorted({c[0] for c in self.controls}))
+
     def pattern(self, escaped: bool) -> str:
         """First character, backslashes (one at least if `escaped`, outside the group), rest."""
-        firsts = "|".join(sorted({re.escape(c[0]) for c in self.controls}))
+        firsts = "".join(re.escape(f) for f in self.firsts)
         rests = "|".join(dict.fromkeys(re.escape(c[1:]) for c in self.controls))
-        return rf"({firsts}){chr(92) * 2 if escaped else ''}(\\*)({rests})"
+        return rf"([{firsts}]){chr(92) * 2 if escaped else ''}(\\*)({rests})"
 
 
 CHATML = Template()
 
 
+def _replaced(text: Column, template: Template, escaped: bool, by: str) -> Column:
+    """The pattern replaced, in texts that hold a character with which it may begin."""
+    some = [F.contains(text, F.lit(first)) for first in template.firsts]
+    return F.when(
+        reduce(or_, some), F.regexp_replace(text, template.pattern(escaped), by)
+    ).otherwise(text)
+
+
 def escape(text: Column, template: Template = CHATML) -> Column:
-    return F.regexp_replace(text, template.pattern(False), r"$1\\$2$3")
+    return _replaced(text, template, False, r"$1\\$2$3")
 
 
 def unescape(text: Column, template: Template = CHATML) -> Column:
-    return F.regexp_replace(text, template.pattern(True), "$1$2$3")
+    return _replaced(text, template, True, "$1$2$3")
 
 
 def merged(turns: Column) -> Column:
@@ -196,15 +210,12 @@ def read_loss(formatted: Column, spans: Column, template: Template = CHATML) ->
     def cut(raw: Column) -> Column:
         texts = F.transform(
             spans,
-            lambda s: unescape(
-                F.decode(
-                    raw.substr((s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")),
-                    "UTF-8",
-                ),
-                template,
+            lambda s: F.decode(
+                raw.substr((s["start"] + 1).cast("int"), (s["end"] - s["start"]).cast("int")),
+                "UTF-8",
             ),
         )
-        return F.array_join(texts, "")
+        return F.array_join(F.transform(texts, lambda t: unescape(t, template)), "")
 
     return let(formatted.cast("binary"), cut)
 

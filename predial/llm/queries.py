@@ -174,8 +174,12 @@ def op4_warc(spark, sf_dir):
 def op11_chat_formatting(spark, sf_dir):
     conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     marks = "</s>[INST] ok [/INST]"
-    planted = [(-7, 0, "user", marks), (-7, 1, "assistant", marks)]
-    extra = spark.createDataFrame(planted, conversations.schema)
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(marks).alias("text"),
+    )
     return chat.digests(chat.format_chats(conversations.unionByName(extra)))
 
 
