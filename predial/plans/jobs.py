@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from predial.contracts import (
     LOOKUP_TABLES,
@@ -19,6 +19,7 @@ from predial.contracts import (
 )
 from predial.plans import cadastre, lookups, prices, profile
 from predial.plans.publish import publish
+from predial.sinks.commits import begin
 from predial.sinks.guards import check_destination, check_not_empty
 from predial.sinks.staging import Stage
 from predial.sinks.writers import overwrite_table
@@ -81,7 +82,7 @@ def run_cadastre(
     """
     for period in periods:
         check_period(period)
-    check_destination(root, agreed_root)
+    since = begin(spark, check_destination(root, agreed_root))
 
     def read(table: str, names: Sequence[str]) -> DataFrame:
         return read_periods(spark, base, table, periods, names, sep, marked=not accept_ragged)
@@ -97,11 +98,7 @@ def run_cadastre(
             "no_agricola": cadastre.build_no_agricola(properties, totals),
             "nexo_bc": cadastre.build_nexo_bc(properties),
         }
-        # The join, whose totals may overflow, is computed before anything is replaced; the
-        # other two only leave out columns and rows of what is staged.
-        return publish(
-            tables, root, agreed_root, periods, stored=("construcciones", "nexo_bc")
-        )
+        return publish(tables, root, agreed_root, periods, since=since)
 
 
 def run_prices(
@@ -118,10 +115,13 @@ def run_prices(
 ) -> tuple[dict[str, int], dict[str, int]]:
     """Six tables; returns the rows written and the audit of the sales.
 
+    The audit is counted while the sales are staged and while the finished table is written:
+    the staged sales are scanned once, and joined to the rates once.
+
     Sources are `<base>/<table>.csv` unless `paths` says otherwise; `names` renames
     headers by position, and a table without an entry keeps its own header.
     """
-    check_destination(root, agreed_root)
+    since = begin(spark, check_destination(root, agreed_root))
 
     def source(table: str) -> DataFrame:
         path = (paths or {}).get(table, f"{base.rstrip('/')}/{table}.csv")
@@ -136,19 +136,14 @@ def run_prices(
         rates = typed(prices.type_rates(source("precios_uf")), "precios_uf")
         dates = prices.check_rates(rates)
         raw = source("precios_transaccionales")
-        sales = typed(prices.type_sales(raw, strict_key), "precios_transaccionales")
+        dropped, changed = Observation("sales read"), Observation("sales finished")
+        sales = prices.watched_sales(prices.type_sales(raw, strict_key), dropped)
+        sales = typed(sales, "precios_transaccionales")
         reference = stage.keep(prices.rate_reference(rates), "reference")
-        final = prices.finish_sales(sales, reference, dates, clp_cap, uf_cap)
-        audit = prices.sales_audit(
-            sales, reference, dates, clp_cap, uf_cap, for_publishing=True
-        )
-        figures = audit.first().asDict()
-        guarded = [c for c in figures if c == "rows" or c.startswith("not finite")]
-        known = {"precios_transaccionales": {c: figures.pop(c) for c in guarded}}
-
-        # All of them are narrow over staged tables, and none of their casts can fail.
+        final = prices.finish_sales(sales, reference, dates, clp_cap, uf_cap, changed)
+
         tables = {"precios_transaccionales": final, "precios_uf": prices.build_uf(rates)}
         for table in LOOKUP_TABLES:
             tables[table] = typed(lookups.build_lookup(source(table), table), table)
-        written = publish(tables, root, agreed_root, known=known, stored=tables)
-    return written, figures
+        written = publish(tables, root, agreed_root, since=since)
+        return written, dropped.get | changed.get

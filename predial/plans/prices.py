@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from predial.contracts import (
@@ -21,12 +21,11 @@ from predial.functions.rules import (
     bad_rol,
     bad_sale_date,
     no_price,
-    not_finite,
     positive_up_to,
     usable_sale,
 )
 from predial.operators.casting import conform
-from predial.operators.counting import tally
+from predial.operators.counting import observed, tally
 from predial.operators.joins import join_lookup
 from predial.sources.text import WIDTH
 
@@ -140,9 +139,22 @@ def finish_sales(
     dates: int,
     clp_cap: float | None = CLP_CAP,
     uf_cap: float | None = UF_CAP,
+    watch: Observation | None = None,
 ) -> DataFrame:
-    usable = cap_prices(typed.filter(usable_sale()), clp_cap, uf_cap)
-    return impute(attach_rates(usable, reference, dates))
+    """The finished table; `watch` counts what was capped, filled and left on the way.
+
+    Filter, rate, caps and imputation follow each other in the tasks that write, so the
+    counters cost no scan and no join of their own.
+    """
+    attached = attach_rates(typed.filter(usable_sale()), reference, dates)
+    if watch:
+        attached = observed(attached, watch, _later(clp_cap, uf_cap))
+    return impute(cap_prices(attached, clp_cap, uf_cap))
+
+
+def watched_sales(typed: DataFrame, watch: Observation) -> DataFrame:
+    """`type_sales`, counting what will be dropped and what carries no usable price."""
+    return observed(typed, watch, _cleaning())
 
 
 def build_precios(
@@ -206,15 +218,14 @@ def _pending(no_clp: Column, no_uf: Column) -> dict[str, Column]:
     }
 
 
-def _publishing(clp: Column, uf: Column) -> dict[str, Column]:
-    """What the guards of the finished table ask: its rows, and prices that overflow."""
-    filled = {
-        "precio_clp": F.coalesce(clp, uf * F.col("uf")),
-        "precio_uf": F.coalesce(uf, clp / F.col("uf")),
-    }
-    return {"rows": F.lit(True)} | {
-        f"not finite {c}": not_finite(value.cast(SALES[c].dataType)) for c, value in filled.items()
-    }
+def _later(clp_cap: float | None, uf_cap: float | None) -> dict[str, Column]:
+    """On usable, uncapped sales with their rates: capping, imputing, and what stays open."""
+    clp = positive_up_to(F.col("precio_clp"), clp_cap)
+    uf = positive_up_to(F.col("precio_uf"), uf_cap)
+    no_rate = F.col("uf").isNull()
+    unfilled_clp = clp.isNull() & (uf.isNull() | no_rate)
+    unfilled_uf = uf.isNull() & (clp.isNull() | no_rate)
+    return _capping(clp_cap, uf_cap) | _imputing(clp, uf) | _pending(unfilled_clp, unfilled_uf)
 
 
 def _among_usable(conditions: dict[str, Column]) -> dict[str, Column]:
@@ -247,19 +258,7 @@ def sales_audit(
     dates: int,
     clp_cap: float | None = CLP_CAP,
     uf_cap: float | None = UF_CAP,
-    for_publishing: bool = False,
 ) -> DataFrame:
-    """The four audits above in one row from one scan of `type_sales`.
-
-    `for_publishing` adds the figures that the guards want of the finished table, so that
-    it needn't be computed for them.
-    """
-    clp = positive_up_to(F.col("precio_clp"), clp_cap)
-    uf = positive_up_to(F.col("precio_uf"), uf_cap)
-    no_rate = F.col("uf").isNull()
-    unfilled_clp = clp.isNull() & (uf.isNull() | no_rate)
-    unfilled_uf = uf.isNull() & (clp.isNull() | no_rate)
-    later = _capping(clp_cap, uf_cap) | _imputing(clp, uf) | _pending(unfilled_clp, unfilled_uf)
-    if for_publishing:
-        later |= _publishing(clp, uf)
-    return tally(attach_rates(typed, reference, dates), _cleaning() | _among_usable(later))
+    """The four audits above in one row from one scan of `type_sales`."""
+    later = _among_usable(_later(clp_cap, uf_cap))
+    return tally(attach_rates(typed, reference, dates), _cleaning() | later)

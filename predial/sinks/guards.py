@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from predial.contracts import PERIOD, SCHEMAS, ContractError, float_columns
@@ -13,6 +13,8 @@ from predial.operators.casting import check_schema
 from predial.operators.counting import count_by
 from predial.sources.tables import read_table
 
+Figures = Mapping[str, int]
+
 
 def check_destination(root: str, agreed: str) -> str:
     """Allow the agreed root or a folder under it, and nothing else."""
@@ -45,9 +47,9 @@ def foreign_periods(df: DataFrame, periods: Sequence[str]) -> DataFrame:
     return count_by(df.filter(~expected), PERIOD)
 
 
-def measure(df: DataFrame, table: str, periods: Sequence[str] = ()) -> Mapping[str, int]:
-    """Every figure the guards need, in one pass and one row."""
-    figures = [F.count("*").alias("rows")]
+def measures(table: str, periods: Sequence[str] = ()) -> list[Column]:
+    """Every figure the guards need, as aggregates over a finished table."""
+    figures = [F.count(F.lit(1)).alias("rows")]
     figures += [F.count_if(F.col(PERIOD) == p).alias(f"period {p}") for p in periods]
     figures += [
         F.count_if(not_finite(F.col(c))).alias(f"not finite {c}")
@@ -55,11 +57,37 @@ def measure(df: DataFrame, table: str, periods: Sequence[str] = ()) -> Mapping[s
     ]
     if table == "nexo_bc":
         figures.append(F.count_if(is_bad_link()).alias("bad links"))
-    return df.agg(*figures).first().asDict()
+    return figures
+
+
+def measure(df: DataFrame, table: str, periods: Sequence[str] = ()) -> Mapping[str, int]:
+    """The figures in one pass and one row."""
+    return df.agg(*measures(table, periods)).first().asDict()
+
+
+# Names of the parts of a checksum. A hash of 64 bits is summed up in three parts of at most
+# 22 bits, so the sums of a million million rows fit a long.
+CHECKSUM = ("suma 0", "suma 22", "suma 44")
+
+
+def checksum(columns: Sequence[str]) -> list[Column]:
+    """Aggregates that tell a table's content, in any order of rows and with repeated rows.
+
+    The hash passes over nulls, so which columns are null is hashed as well.
+    """
+    empty = F.concat(*(F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns))
+    row = F.xxhash64(empty, *columns)
+    return [
+        F.coalesce(
+            F.sum(F.shiftrightunsigned(row, int(name.split()[1])).bitwiseAND(F.lit((1 << 22) - 1))),
+            F.lit(0),
+        ).alias(name)
+        for name in CHECKSUM
+    ]
 
 
 def check_measures(
-    figures: Mapping[str, int], table: str, periods: Sequence[str] = (), may_be_empty: bool = False
+    figures: Figures, table: str, periods: Sequence[str] = (), may_be_empty: bool = False
 ) -> None:
     by_period = {p: figures[f"period {p}"] for p in periods}
     if periods and sum(by_period.values()) != figures["rows"]:
@@ -72,27 +100,39 @@ def check_measures(
         raise ContractError(f"{table}: {wrong}")
 
 
-def check_written_table(spark: SparkSession, path: str, table: str, expected: int) -> int:
+def check_written_table(
+    spark: SparkSession, path: str, table: str, expected: int, content: Figures | None = None
+) -> int:
+    """The rows read back, and with `content` their checksum too; one scan."""
     df = check_schema(read_table(spark, path), SCHEMAS[table], path)
-    return _check_count(df, path, expected)
+    return _check_read_back(df, path, table, {None: expected}, content)
 
 
 def check_written_periods(
-    spark: SparkSession, path: str, table: str, expected: Mapping[str, int]
+    spark: SparkSession, path: str, table: str, expected: Mapping[str, int],
+    content: Figures | None = None,
 ) -> None:
-    """Rows per period, counted together; a period without files has none."""
+    """Rows per period, and the checksum of them all; a period without files has none."""
     df = check_schema(read_table(spark, path).select(*SCHEMAS[table].names), SCHEMAS[table], path)
-    counted = count_by(df.filter(F.col(PERIOD).isin(*expected)), PERIOD).collect()
-    found = {row[PERIOD]: row["registros"] for row in counted}
-    for period, rows in expected.items():
-        _check_rows(found.get(period, 0), f"{path} {period}", rows)
-
-
-def _check_count(df: DataFrame, label: str, expected: int) -> int:
-    return _check_rows(df.count(), label, expected)
-
-
-def _check_rows(found: int, label: str, expected: int) -> int:
+    _check_read_back(df.filter(F.col(PERIOD).isin(*expected)), path, table, expected, content)
+
+
+def _check_read_back(
+    df: DataFrame, path: str, table: str, expected: Mapping, content: Figures | None
+) -> int:
+    sums = checksum(SCHEMAS[table].names) if content else []
+    by = [PERIOD] if None not in expected else []
+    counted = df.groupBy(*by).agg(F.count("*").alias("registros"), *sums).collect()  # a row a period
+    found = {row[PERIOD] if by else None: row["registros"] for row in counted}
+    for part, rows in expected.items():
+        _check_rows(found.get(part, 0), f"{path} {part or ''}".rstrip(), rows)
+    if content:
+        read = {name: sum(row[name] for row in counted) for name in CHECKSUM}
+        if read != {name: content[name] for name in CHECKSUM}:
+            raise ContractError(f"{path}: other values read back than were written")
+    return sum(found.values())
+
+
+def _check_rows(found: int, label: str, expected: int) -> None:
     if found != expected:
         raise ContractError(f"{label}: {found} rows read back, {expected} written")
-    return found

@@ -12,15 +12,18 @@ def overwrite_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def overwrite_periods(df: DataFrame, path: str, periods: int = 1) -> None:
-    """Replace the periods present in `df` and leave the others alone.
+def by_period(df: DataFrame, periods: int) -> DataFrame:
+    """Rows dealt so that a period's end up in few files.
 
     With one period every task writes one file. With more, tasks that hold rows of
     many periods would each write many small files; the hint makes adaptive execution
     group by period and cut large periods into parts of the advisory size.
     """
-    if periods > 1:
-        df = df.hint("rebalance", PERIOD)
+    return df.hint("rebalance", PERIOD) if periods > 1 else df
+
+
+def overwrite_periods(df: DataFrame, path: str) -> None:
+    """Replace the periods present in `df` and leave the others alone."""
     writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(PERIOD).parquet(path)
 

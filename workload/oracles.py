@@ -438,7 +438,8 @@ def oracles() -> dict[str, str]:
         "refusals": """SELECT * FROM (VALUES ('destino_ajeno', true), ('periodo_ajeno', true),
             ('nexo_invalido', true), ('tabla_vacia', true), ('fuente_vacia', true),
             ('no_finito', true), ('esquema', true), ('uf_invalida', true),
-            ('uf_contradictoria', true), ('correcta', false)) t(caso, rechazado)""",
+            ('uf_contradictoria', true), ('correcta', false), ('simultanea', true),
+            ('simultanea_aparte', false)) t(caso, rechazado)""",
         "csv_ragged": _with(_raw_buildings(True)) + """SELECT periodo,
             CASE WHEN cast(cod_pr AS bigint) % 97 = 0 THEN 'corta' ELSE 'larga' END AS ancho,
             count(*) AS registros FROM raw_buildings
@@ -452,6 +453,15 @@ def oracles() -> dict[str, str]:
             "codigo_destino": found["destino"],
             "codigo_material": found["material"],
         }),
+        "job_publish_recovery": sales + """, n AS (
+            SELECT (SELECT count(*) FROM final WHERE cod_pr % 2 = 0) AS pocas,
+                   (SELECT count(*) FROM final) AS todas, (SELECT count(*) FROM rates) AS tasas)
+            SELECT estado, tabla, CASE WHEN tabla = 'precios_uf' THEN
+                CASE WHEN nueva THEN tasas ELSE 1 END ELSE CASE WHEN nueva THEN todas ELSE pocas END
+                END AS registros
+            FROM n, (VALUES ('antes', false), ('muerta_sin_publicar', false),
+                ('muerta_publicada', true), ('recuperada', true)) e(estado, nueva),
+                (VALUES ('precios_transaccionales'), ('precios_uf')) t(tabla)""",
         "job_cadastre": _cadastre(True) + _summary({
             "construcciones": "SELECT * FROM buildings",
             "no_agricola": NO_AGRICOLA,

@@ -25,9 +25,10 @@ from predial.operators.duplicates import exact_duplicates, most_repeated
 from predial.plans import cadastre, jobs, lookups, prices, profile
 from predial.plans.publish import publish
 from predial.session import configure, scratch_root
-from predial.sinks import catalog, guards
+from predial.sinks import catalog, commits, guards
+from predial.sinks.folders import Folders
 from predial.sinks.staging import Stage
-from predial.sources.tables import read_period
+from predial.sources.tables import read_period, read_table
 from predial.sources.text import (
     WIDTH,
     period_path,
@@ -319,6 +320,14 @@ def sample(spark, sf_dir):
     return spark.createDataFrame([row], schema)
 
 
+def _overlapping(spark, links, root, ours, theirs):
+    """A run that began before another one published."""
+    since = commits.begin(spark, root)
+    for periods, began in ((theirs, None), (ours, since)):
+        rows = links.filter(F.col("periodo").isin(*periods))
+        publish({"nexo_bc": rows}, root, root, periods, since=began)
+
+
 @query
 def refusals(spark, sf_dir):
     """Each guard on a bad frame made from the tables, and what it says."""
@@ -341,6 +350,8 @@ def refusals(spark, sf_dir):
         "uf_contradictoria": lambda root: prices.check_rates(
             _faulty(spark, sf_dir).filter("uf > 0")),
         "correcta": lambda root: publish({"nexo_bc": in_first}, root, root, first),
+        "simultanea": lambda root: _overlapping(spark, in_first, root, first, first),
+        "simultanea_aparte": lambda root: _overlapping(spark, links, root, first, PERIODS[1:]),
     }
     found = []
     for name, attempt in attempts.items():
@@ -563,6 +574,50 @@ def job_prices(spark, sf_dir):
     return _summary(spark, f"{base}/out", sources)
 
 
+class _Interrupted(BaseException):
+    pass
+
+
+class _Interrupting(Folders):
+    """Renames that end after a few, as if the driver had been killed."""
+
+    def __init__(self, spark: SparkSession, root: str, renames: int):
+        super().__init__(spark, root)
+        self.left = renames
+
+    def move(self, source: str, target: str) -> bool:
+        if self.left == 0:
+            raise _Interrupted
+        done = super().move(source, target)
+        self.left -= done
+        return done
+
+
+@query
+def job_publish_recovery(spark, sf_dir):
+    """Two tables replaced by runs that are killed before the manifest's rename, and between
+    the renames after it: what readers see, and what the next run leaves in the folders."""
+    root = f"{replaceable_folder(spark, 'recovery')}/out"
+    final, rates = _final(spark, sf_dir), prices.build_uf(_rates(spark, sf_dir))
+    names = ("precios_transaccionales", "precios_uf")
+    publish({names[0]: final.filter("cod_pr % 2 = 0"), names[1]: rates.limit(1)}, root, root)
+    found = []
+
+    def note(state, read):
+        found.extend((state, name, read(f"{root}/{name}").count()) for name in names)
+
+    note("antes", lambda path: read_table(spark, path))
+    for state, renames in (("muerta_sin_publicar", 0), ("muerta_publicada", 3)):
+        try:
+            publish({names[0]: final, names[1]: rates}, root, root,
+                    folders=_Interrupting(spark, root, renames))
+        except _Interrupted:
+            note(state, lambda path: read_table(spark, path))
+    commits.recover(spark, root)
+    note("recuperada", spark.read.parquet)
+    return spark.createDataFrame(found, "estado string, tabla string, registros long")
+
+
 @query
 def job_cadastre(spark, sf_dir):
     base = write_cadastre(spark, sf_dir, "job_cadastre")
@@ -602,10 +657,9 @@ def publish_cadastre(spark: SparkSession, sf_dir: str) -> str:
             "no_agricola": cadastre.build_no_agricola(owned, cadastre.building_totals(lines)),
             "nexo_bc": cadastre.build_nexo_bc(owned),
         }
-        stored = ("construcciones", "nexo_bc")
-        publish(tables, root, root, PERIODS, stored=stored)
+        publish(tables, root, root, PERIODS)
         again = tables["nexo_bc"].filter(F.col("periodo") == PERIODS[0])
-        publish({"nexo_bc": again}, root, root, PERIODS[:1], stored=stored)
+        publish({"nexo_bc": again}, root, root, PERIODS[:1])
     return root
 
 
