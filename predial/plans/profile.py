@@ -245,9 +245,8 @@ def sample_view(
     view: str = "muestra_precios",
     max_rows: int = SAMPLE_ROWS,
     seed: int = SAMPLE_SEED,
-    total: int | None = None,
 ) -> DataFrame:
     """A bounded sample of the read prices as a temporary view, selected in SQL."""
-    sample = capped_sample(read_prices(values), max_rows, seed, total)
+    sample = capped_sample(read_prices(values), max_rows, seed)
     sample.createOrReplaceTempView(view)
     return values.sparkSession.sql(f"SELECT * FROM `{view}`")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from predial.contracts import (
     ContractError,
 )
 from predial.functions.parsing import blank_to_null
+from predial.sources.headers import columns_of, files_by_header
 
 
 def require_columns(df: DataFrame, columns: Iterable[str], label: str) -> DataFrame:
@@ -43,13 +45,32 @@ def read_headered(
     sep: str = ",",
     marked: bool = False,
 ) -> DataFrame:
-    """Text with a header line; `names` replaces the header by position.
+    """Text with header lines, of one file or a folder of them.
 
-    With `marked`, lines of another width than the header carry a mark (`read_marked`).
+    Each file's columns go by its own header (`headers.columns_of`), and a column that its
+    header lacks is null. `names` replaces a header with other titles by position. With
+    `marked`, lines of another width than their header carry a mark (`read_marked`).
     """
-    df = spark.read.csv(path, header=True, inferSchema=False, sep=sep)
-    df = df if names is None else _named(df, names, path)
-    return read_marked(spark, path, df.columns, sep, header=True) if marked else df
+    headers = files_by_header(spark, path, sep)
+    if len(headers) < 2 and names is None:
+        df = spark.read.csv(path, header=True, inferSchema=False, sep=sep)
+        return read_marked(spark, path, df.columns, sep, header=True) if marked else df
+    if not headers:
+        raise ContractError(f"{path}: {len(names)} fields expected, none read")
+    columns = columns_of(headers, names, path)
+    wanted = list(names or max(columns.values(), key=len))
+    parts = []
+    for titles, own in columns.items():
+        files = path if len(headers) == 1 else headers[titles]
+        if marked:
+            part = read_marked(spark, files, own, sep, header=True)
+        else:
+            schema = ", ".join(f"`{c}` string" for c in own)
+            part = spark.read.schema(schema).csv(files, header=True, sep=sep)
+        absent = {c: F.lit(None).cast("string") for c in wanted if c not in own}
+        mark = [WIDTH] if marked else []
+        parts.append(part.select(*(absent.get(c, F.col(c)).alias(c) for c in wanted), *mark))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_delimited(

@@ -93,10 +93,21 @@ def test_totals_join_wants_equal_key_types(spark):
         joins.join_totals(hot_sales(spark), totals, ["key"])
 
 
-def test_sample_is_bounded_and_repeats(spark):
-    df = spark.range(0, 50_000, 1, 4)
-    first, second = (sampling.capped_sample(df, 1000, 42) for _ in range(2))
-    assert rows(first) == rows(second)
-    assert 800 <= first.count() <= 1000
-    assert sampling.capped_sample(df, 10**6, total=50_000).count() == 50_000
+def test_sample_is_the_same_on_any_partitioning(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "COPIES_AT_ONCE", 100)
+    df = spark.range(5000).selectExpr(
+        "if(id % 3 = 0, 'hot', string(id)) as a", "if(id % 7 = 0, null, id / 8.0d) as b"
+    ).unionByName(spark.sql("SELECT 'hot' AS a, cast(0.5 AS double) AS b FROM range(2000)"))
+    first = rows(sampling.capped_sample(df.repartition(3), 1000, 42))
+    assert len(first) == 1000 and rows(sampling.capped_sample(df.repartition(7), 1000, 42)) == first
+    assert rows(sampling.capped_sample(df, 1000, 43)) != first
+    hot = sum(r == ("hot", 0.5) for r in first)
+    assert 220 <= hot <= 350  # 2,000 of 7,000 rows are copies of it
+    numbered = sampling.numbered_copies(df, "n").filter("b = 0.5 AND a = 'hot'")
+    assert sorted(r.n for r in numbered.collect()) == list(range(1, 2001))
+
+
+def test_sample_of_few_rows(spark):
+    df = spark.range(20).selectExpr("id % 4 as id")
+    assert rows(sampling.capped_sample(df, 100)) == rows(df)
     assert sampling.capped_sample(df.limit(0), 10).count() == 0

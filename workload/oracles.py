@@ -259,6 +259,12 @@ def _nulled(c: str) -> str:
     return f"CASE WHEN {c} <> '' THEN {c} END AS {c}"
 
 
+def _hashed(c: str) -> str:
+    """A price as the sample's hash spells it."""
+    text = f"CAST(CAST(floor({c} * 100) AS bigint) AS varchar)"
+    return f"coalesce(length({text}) || ':' || {text}, '-')"
+
+
 def _described(source: str) -> str:
     return " UNION ALL ".join(
         f"""SELECT '{c}' AS precio, count(valor_{c}) AS registros,
@@ -433,8 +439,14 @@ def oracles() -> dict[str, str]:
             {"ambos_precios_pendientes": PENDING["ambos_pendientes_conservados"]}, "final"),
     }
     found |= {
-        "sample": _with(RAW_SALES) + """SELECT count(*) AS registros, true AS en_limite,
-            true AS tamano_esperado, cast(0 AS bigint) AS ajenos, true AS repetible FROM raw""",
+        "sample": _with(RAW_SALES, VALUES) + f"""SELECT {", ".join(PRICES)} FROM (
+            SELECT *, md5('42,' || row_number() OVER (PARTITION BY {", ".join(PRICES)}) || ','
+                || {" || ".join(map(_hashed, PRICES))}) AS h
+            FROM (SELECT {", ".join(f"valor_{c} AS {c}" for c in PRICES)} FROM vals))
+            ORDER BY h, {", ".join(f"{c} NULLS FIRST" for c in PRICES)} LIMIT 1000""",
+        "csv_headers": _with(RAW_SALES) + "SELECT " + ", ".join(map(_nulled, RAW_COLUMNS[:-1]))
+        + f""", CASE WHEN length(concat({", ".join(RAW_COLUMNS)})) % 3 <> 2 AND {RAW_COLUMNS[-1]} <> ''
+            THEN {RAW_COLUMNS[-1]} END AS {RAW_COLUMNS[-1]} FROM raw""",
         "refusals": """SELECT * FROM (VALUES ('destino_ajeno', true), ('periodo_ajeno', true),
             ('nexo_invalido', true), ('tabla_vacia', true), ('fuente_vacia', true),
             ('no_finito', true), ('esquema', true), ('uf_invalida', true),

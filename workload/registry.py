@@ -298,26 +298,9 @@ def quartiles_approx(spark, sf_dir):
 
 @query
 def sample(spark, sf_dir):
-    """What can be said of a random sample whatever the rows: one row of proof."""
-    bound = 1000
-    values = _prices(spark, sf_dir)
-    with Stage(spark, "sample") as stage:
-        drawn = stage.keep(profile.sample_view(_values(spark, sf_dir), max_rows=bound), "drawn")
-        total = values.count()
-        expected = min(total, bound)
-        deviation = (expected * (1 - expected / total)) ** 0.5
-        found = drawn.count()
-        # As often as in the population, at most: rows are drawn without replacement.
-        per_row = [F.count("*").alias("n")]
-        ours = drawn.groupBy(*PRICES).agg(*per_row)
-        theirs = values.groupBy(*PRICES).agg(F.count("*").alias("de"))
-        same = [ours[c].eqNullSafe(theirs[c]) for c in PRICES]
-        strange = ours.join(theirs, same, "left").filter("de IS NULL OR n > de").count()
-        again = profile.sample_view(_values(spark, sf_dir), max_rows=bound)
-        repeats = again.exceptAll(drawn).isEmpty() and drawn.exceptAll(again).isEmpty()
-    row = (total, found <= bound, abs(found - expected) <= 5 * deviation + 1, strange, repeats)
-    schema = "registros long, en_limite boolean, tamano_esperado boolean, ajenos long, repetible boolean"
-    return spark.createDataFrame([row], schema)
+    """The very rows, which don't depend on partitioning."""
+    values = _values(spark, sf_dir)
+    return profile.sample_view(values, max_rows=1000)
 
 
 def _overlapping(spark, links, root, ours, theirs):
@@ -504,6 +487,18 @@ def csv_prices(spark, sf_dir):
     return read_headered(spark, write_sales(spark, sf_dir, "csv_prices"), RAW_SALES)
 
 
+@query
+def csv_headers(spark, sf_dir):
+    """One folder whose files have two orders of columns, and some lack a column."""
+    path = f"{replaceable_folder(spark, 'headers')}/precios_transaccionales.csv"
+    raw = views.raw_sales(spark, sf_dir)
+    kind = F.length(F.concat(*(F.coalesce(c, F.lit("")) for c in RAW_SALES))) % 3
+    for number, columns in enumerate((RAW_SALES, RAW_SALES[::-1], RAW_SALES[:-1])):
+        part = raw.filter(kind == number).select(*(F.col(c).alias(c.upper()) for c in columns))
+        part.write.options(**KEEP_SPACES, header=True).mode("append").csv(path)
+    return read_headered(spark, path, RAW_SALES)
+
+
 @query
 def csv_precios(spark, sf_dir):
     """The flagship job starting from a text file."""
