@@ -39,13 +39,14 @@ from pyspark.sql import functions as F
 from predial.llm.components import smallest_reachable
 from predial.llm.exact_dedup import per_salt, salt_of
 from predial.llm.shingles import Shingler, mixed, set_digest, similar
-from predial.llm.support import fresh, full_text, keep
+from predial.llm.support import batches_of, discard, fresh, full_text, keep
 
 WORDS, PERCENT = 5, 80
 BAND_STEPS = 2  # a band spans this many times the size ratio of similar sets
 SMALL_DIFFERENCE = 12  # bands of at most so many differences enumerate subsets of parts
 PARTITIONS = 4  # tried by sets that lack parts, before a last signature for all such sets
 BLOCK = 2000  # members of an open group that are compared at once, with as many others
+NARROW_ROWS = 1 << 16  # a batch of signatures
 REMEMBERED_SETS = 100_000  # of a task, to sign equal sets once
 
 
@@ -187,15 +188,72 @@ def _possible(
     return sizes & ((100 + percent) * apart <= (100 - percent) * (n + m))
 
 
-def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, the 128 bits of each row's set, and its sketch."""
+class Hot:
+    """Signatures that very many rows of a task have, and one of those rows for each.
+
+    A signature that `OFTEN` sets of one batch have is counted from then on. The task hands
+    over `SHOWN` of its rows to the signature's group; the rest go straight to the row that
+    was first, so the task that gathers a group doesn't gather a third of the table.
+    """
+
+    OFTEN, SHOWN = 8, 200
+
+    def __init__(self):
+        self.first: dict[int, tuple] = {}
+        self.count: dict[int, int] = {}
+
+    def taken(self, values: np.ndarray, ids: list) -> tuple[np.ndarray, list[tuple]]:
+        """Which (signature, id) rows go to their groups, and the others as (row, first id)."""
+        found, counts = np.unique(values, return_counts=True)
+        for value in found[counts >= self.OFTEN].tolist():
+            self.count.setdefault(value, 0)
+        shown, others = np.ones(len(values), bool), []
+        if not self.count:
+            return shown, others
+        known = np.fromiter(self.count, np.uint64, len(self.count))
+        for at in np.flatnonzero(np.isin(values, known)).tolist():
+            value = int(values[at])
+            self.first.setdefault(value, ids[at])
+            self.count[value] += 1
+            if self.count[value] > self.SHOWN:
+                shown[at] = False
+                others.append((at, self.first[value]))
+        return shown, others
+
+
+def signed_sets(rows: DataFrame, words: int, percent: int) -> DataFrame:
+    """One pass over the texts: of each row's set the size, 128 bits, sketch and signatures.
+
+    doc_id, n_shingles, d1, d2, sketch, signatures; `hot` has signatures with the id of another
+    row of their group (`Hot`). Sets that repeat inside a task sign once, rows without id not.
+    """
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(words)
+        shingler, seen, hot = Shingler(words), set(), Hot()
         for batch in batches:
+            ids = batch["doc_id"].to_pylist()
             sets = [shingler(t) for t in batch["text"].to_pylist()]
             digests = [set_digest(s) for s in sets]
+            signing = []
+            for i, digest in enumerate(digests):
+                if len(sets[i]) and ids[i] is not None and digest not in seen:
+                    signing.append(i)
+                    if len(seen) < REMEMBERED_SETS:
+                        seen.add(digest)
+            values, number = signatures([sets[i] for i in signing], percent)
+            whose = np.array(signing, np.int64)[number]
+            order = np.argsort(whose, kind="stable")
+            values, whose = values[order], whose[order]
+            shown, others = hot.taken(values, [ids[i] for i in whose.tolist()])
+            held: list[list] = [[] for _ in ids]
+            for at, first in others:
+                held[whose[at]].append({"signature": int(values[at].astype(np.int64)), "centre": first})
+            ends = np.searchsorted(whose[shown], np.arange(len(ids) + 1))
+            listed = pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()), pa.array(values[shown].astype(np.int64), pa.int64())
+            )
+            pair = pa.struct([("signature", pa.int64()), ("centre", batch["doc_id"].type)])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch["doc_id"],
@@ -203,53 +261,60 @@ def shingle_sets(rows: DataFrame, words: int) -> DataFrame:
                     pa.array([d[0] for d in digests], pa.int64()),
                     pa.array([d[1] for d in digests], pa.int64()),
                     pa.array([sketch(s) for s in sets], pa.binary()),
+                    listed,
+                    pa.array(held, pa.list_(pair)),
                 ],
-                names=["doc_id", "n_shingles", "d1", "d2", "sketch"],
+                names=["doc_id", "n_shingles", "d1", "d2", "sketch", "signatures", "hot"],
             )
 
-    schema = f"doc_id {kind}, n_shingles long, d1 long, d2 long, sketch binary"
+    schema = (
+        f"doc_id {kind}, n_shingles long, d1 long, d2 long, sketch binary, "
+        f"signatures array<long>, hot array<struct<signature: long, centre: {kind}>>"
+    )
     return rows.mapInArrow(run, schema)
 
 
-def signed(rows: DataFrame, words: int, percent: int) -> DataFrame:
-    """(signature, doc_id) of all rows; sets that repeat inside a task sign once."""
-    kind = rows.schema["doc_id"].dataType.simpleString()
+def _members(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by signature those that aren't alone, each with a centre of its group.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, seen = Shingler(words), set()
-        for batch in batches:
-            sets, at = [], []
-            for i, value in enumerate(batch["text"].to_pylist()):
-                shingles = shingler(value)
-                digest = set_digest(shingles)
-                if len(shingles) and digest not in seen:
-                    sets.append(shingles)
-                    at.append(i)
-                    if len(seen) < REMEMBERED_SETS:
-                        seen.add(digest)
-            values, number = signatures(sets, percent)
-            ids = batch["doc_id"].take(pa.array(np.array(at, np.int64)[number], pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values.astype(np.int64), pa.int64()), ids], names=["signature", "doc_id"]
-            )
-
-    return rows.mapInArrow(run, f"signature long, doc_id {kind}")
+    The centre is the smallest id, as far as the batch reaches; a group that goes on in the
+    next batch goes on with that centre, and if a smaller one comes, the two are linked.
+    """
+    last = None  # signature and centre of the group that the batch before ended in
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        value = batch["signature"].to_numpy()
+        ids = batch["doc_id"].to_numpy(zero_copy_only=False)
+        if last is not None:
+            value = np.concatenate([last[0], value])
+            ids = np.concatenate([last[1], ids])
+        opens = np.concatenate([[True], value[1:] != value[:-1]])
+        starts = np.flatnonzero(opens)
+        centre = np.minimum.reduceat(ids, starts)[np.cumsum(opens) - 1]
+        apart = ids != centre
+        last = value[-1:], centre[-1:]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(value[apart], pa.int64()), pa.array(ids[apart], batch["doc_id"].type),
+             pa.array(centre[apart], batch["doc_id"].type)],
+            names=["signature", "doc_id", "centre"],
+        )
 
 
-def _groups(signatures_of: DataFrame) -> DataFrame:
-    """Members of every group of a signature but its first, which is the centre.
+def _groups(signed: DataFrame) -> DataFrame:
+    """(signature, doc_id, centre): members of all groups of two or more but their centres.
 
-    Centre and count are combined inside each task first; members find them by signature and
-    salt, so a group that holds a third of all rows is spread over `SALTS` places.
+    Every signature is shuffled once, in narrow rows; the many that are alone end there.
     """
-    salted = signatures_of.withColumn("salt", salt_of("doc_id"))
-    groups = salted.groupBy("signature").agg(
-        F.min("doc_id").alias("centre"),
-        F.count("*").alias("members"),
-        F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts"),
-    ).filter("members > 1")
-    placed = salted.join(per_salt(groups), ["signature", "salt"]).filter("doc_id <> centre")
-    return placed.select("signature", "doc_id", "centre", "members")
+    kind = signed.schema["doc_id"].dataType.simpleString()
+    rows = signed.select(F.explode("signatures").alias("signature"), "doc_id")
+    dealt = rows.repartition("signature").sortWithinPartitions("signature")
+    members = dealt.mapInArrow(_members, f"signature long, doc_id {kind}, centre {kind}")
+    hot = signed.select("doc_id", F.explode("hot").alias("h")).select(
+        "h.signature", "doc_id", "h.centre"
+    )
+    with batches_of(signed.sparkSession, NARROW_ROWS):
+        return keep(members.unionByName(hot.filter("doc_id <> centre")), "groups")
 
 
 def _as_pairs(pairs: DataFrame, class_of: DataFrame) -> DataFrame:
@@ -421,10 +486,16 @@ def link(
     The component is the smallest id reachable by links, the row's own included.
     """
     rows = _read(df, doc_id, text)
-    sets = keep(shingle_sets(rows, words), "sets")
-    full = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = full.groupBy("d1", "d2").agg(F.min("doc_id").alias("class"))
-    in_class = keep(full.join(classes, ["d1", "d2"]).drop("d1", "d2"), "classes")
+    signed = keep(signed_sets(rows, words, percent), "signed")
+    groups = _groups(signed)
+    sets = keep(signed.drop("signatures", "hot"), "sets")
+    discard(signed)
+    full = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").withColumn("salt", salt_of("doc_id"))
+    classes = full.groupBy("d1", "d2").agg(
+        F.min("doc_id").alias("class"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts")
+    )
+    in_class = full.join(per_salt(classes), ["d1", "d2", "salt"]).drop("d1", "d2", "salt")
+    in_class = keep(in_class, "classes")
     sketches = keep(
         in_class.filter("doc_id = class")
         .select("class", F.col("n_shingles").alias("n"), "sketch").distinct(),
@@ -436,14 +507,20 @@ def link(
     links = in_class.join(class_of.withColumnRenamed("class", "first"), "doc_id")
     links = links.filter("class <> first").select(F.col("first").alias("a"), F.col("class").alias("b"))
 
-    signing = rows.filter("doc_id IS NOT NULL")
-    groups = keep(_groups(keep(signed(signing, words, percent), "signatures")), "groups")
     with_centre = groups.select(F.col("centre").alias("left"), F.col("doc_id").alias("right"))
     pairs = keep(_sketched(_as_pairs(with_centre, in_class), sketches, percent), "pairs")
     links = keep(links.union(_verified(pairs, rows, words, percent)), "links")
+    discard(pairs)
     components = smallest_reachable(links)
 
-    others = groups.filter("members > 2").select("signature", "doc_id", "members")
+    # Groups whose rows, but a single centre that all were compared with, are two or more.
+    sizes = groups.groupBy("signature").agg(
+        (F.count("*") + 1).alias("members"), (F.min("centre") < F.max("centre")).alias("several")
+    )
+    sizes = keep(sizes.filter("members > 2"), "sizes")
+    centres = groups.join(sizes.filter("several"), "signature")
+    centres = centres.select("signature", F.col("centre").alias("doc_id"), "members").distinct()
+    others = groups.join(sizes, "signature").select("signature", "doc_id", "members").union(centres)
     for spanning in (True, False):
         labelled = in_class.join(components, in_class["class"] == components["node"], "left")
         labelled = labelled.select(

@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,6 +66,26 @@ def keep(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*kept: DataFrame) -> None:
+    """Remove tables that `keep` wrote and that nothing will read any more."""
+    for df in kept:
+        for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.sparkSession._jvm.java.net.URI(folder))
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Larger Arrow batches, for narrow rows, in queries that run inside the block."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def smallest_hashes(df: DataFrame, key: str, rows: int) -> DataFrame:
     """At most `rows` rows, those whose key has the smallest hash: the same in any order.
 

@@ -3,12 +3,14 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from edge_cases import SF, TEXTS, documents, no_documents
 from pyspark.sql import functions as F
 
 from predial.llm import jaccard_join
 from predial.llm.shingles import similar
+from predial.llm.support import prepare
 
 
 def brute(rows, size, percent):
@@ -117,7 +119,7 @@ def test_hot_group_of_near_copies_is_not_paired_out(spark):
         F.concat_ws(" ", F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.when(
             i == F.col("id") % 100, F.concat(F.lit("x"), F.col("id").cast("string")),
         ).otherwise(i.cast("string")))).alias("text"))
-    members = jaccard_join._groups(jaccard_join.signed(rows, 4, 85))
+    members = jaccard_join._groups(jaccard_join.signed_sets(rows, 4, 85))
     assert members.count() < 3000 * 100
     found = jaccard_join.link(rows, 4, 85)
     assert found.filter("component_id <> 0").count() == 0
@@ -151,14 +153,38 @@ def test_sketches_never_rule_out_a_similar_pair():
             assert jaccard_join._possible(words[0], words[1], len(a), len(b), 80)
 
 
-def test_a_hot_signature_is_combined_before_it_is_shuffled(spark):
+def test_groups_of_signatures(spark):
+    """Whole groups, lone signatures gone, hot rows linked to a row of their group."""
     pairs = [(1, i) for i in range(500, 3500)] + [(s, s % 97) for s in range(2, 400)] + [(7, 3), (7, 3), (7, 1)]
-    df = spark.createDataFrame(pairs, "signature long, doc_id long")
-    members = defaultdict(list)
+    members = defaultdict(set)
     for s, i in pairs:
-        members[s].append(i)
-    want = sorted((s, i, min(ids), len(ids)) for s, ids in members.items() for i in ids if i != min(ids))
-    groups = jaccard_join._groups(df)
-    assert sorted(map(tuple, groups.collect())) == want
-    plan = groups._jdf.queryExecution().toString()
-    assert "Window" not in plan and "partial_min" in plan
+        members[s].add(i)
+    hot = [{"signature": 1, "centre": 600}]
+    rows = [(i, [s], []) for s, i in pairs] + [(i, [], hot) for i in (1, 2, 600)]
+    members[1] |= {1, 2}
+    schema = "doc_id long, signatures array<long>, hot array<struct<signature: long, centre: long>>"
+    groups = jaccard_join._groups(prepare(spark).createDataFrame(rows, schema))
+    found = defaultdict(set)
+    for s, i, centre in groups.collect():
+        assert i != centre and {i, centre} <= members[s]
+        found[s] |= {i, centre}
+    assert found == {s: ids for s, ids in members.items() if len(ids) > 1}
+    assert "Window" not in groups._jdf.queryExecution().toString()
+
+
+def test_batches_of_a_group():
+    """A group that goes on over batches stays one: every row or centre is linked to it."""
+    def batch(*rows):
+        return pa.RecordBatch.from_pylist([{"signature": s, "doc_id": i} for s, i in rows])
+
+    got = list(jaccard_join._members([batch((1, 5), (2, 9)), batch((2, 7)), batch((2, 8), (3, 1))]))
+    assert [tuple(r.values()) for b in got for r in b.to_pylist()] == [(2, 9, 7), (2, 8, 7)]
+
+
+def test_rows_of_a_hot_signature_in_a_task():
+    hot = jaccard_join.Hot()
+    hot.OFTEN, hot.SHOWN = 3, 4
+    shown, others = hot.taken(np.array([5, 6, 5, 7, 5], np.uint64), list("abcde"))
+    assert shown.all() and not others
+    shown, others = hot.taken(np.array([5, 5, 6], np.uint64), list("fgh"))
+    assert shown.tolist() == [True, False, True] and others == [(1, "a")]
