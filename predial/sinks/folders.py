@@ -27,6 +27,10 @@ class Folders:
     def _path(self, path: str):
         return self._files.makeQualified(self._fs.Path(path))
 
+    def qualified(self, path: str) -> str:
+        """The full address, without a slash at its end."""
+        return self._path(path).toString().rstrip("/") if path else ""
+
     def exists(self, path: str) -> bool:
         return self._files.exists(self._path(path))
 

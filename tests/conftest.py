@@ -19,6 +19,12 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        # One session runs several hundred tests: room for it, and short memories of old plans.
+        .config("spark.driver.memory", "4g")
+        .config("spark.sql.ui.retainedExecutions", "10")
+        .config("spark.ui.retainedJobs", "50")
+        .config("spark.ui.retainedStages", "50")
+        .config("spark.ui.retainedTasks", "1000")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

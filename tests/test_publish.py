@@ -1,4 +1,5 @@
 import os
+import shutil
 
 import pytest
 
@@ -209,3 +210,33 @@ def test_stage_survives_until_its_end(spark):
         kept = stage.keep(spark.range(10), "ids")
         assert kept.count() == 10 and os.path.isdir(f"{stage.folder}/ids")
     assert not os.path.exists(stage.folder)
+
+
+def test_registering_again_minds_only_what_changed(spark, root):
+    old = [f"{year}_{half}" for year in range(2000, 2010) for half in (1, 2)]
+    publish(links(spark, *((1, p) for p in old)), "nexo_bc", root, root, old)
+    path, database = f"{root}/nexo_bc", "predial_again"
+    catalog.register_table(spark, database, "nexo_bc", path)
+    assert len(rows(catalog.period_counts(spark, database, "nexo_bc"))) == 20
+    publish(links(spark, (1, NEW), (2, NEW)), "nexo_bc", root, root, [NEW])
+    publish(links(spark, (8, old[0]), (9, old[0])), "nexo_bc", root, root, [old[0]])
+    context = spark.sparkContext
+    context.setJobGroup("register", "register")
+    catalog.register_table(spark, database, "nexo_bc", path, changed=[NEW, old[0]])
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert not context.statusTracker().getJobIdsForGroup("register")
+    counts = dict(rows(catalog.period_counts(spark, database, "nexo_bc")))
+    assert counts[NEW] == 2 and counts[old[0]] == 2 and len(counts) == 21
+    shown = spark.sql(f"DESCRIBE EXTENDED {database}.nexo_bc PARTITION (periodo = '{NEW}')").collect()
+    assert any(r[0] == "Partition Statistics" and "bytes" in r[1] for r in shown)
+    shutil.rmtree(f"{path}/periodo={old[1]}")
+    catalog.register_table(spark, database, "nexo_bc", path)
+    assert len(rows(catalog.period_counts(spark, database, "nexo_bc"))) == 20
+
+
+def test_registering_another_folder_replaces_the_entry(spark, root):
+    schema = SCHEMAS["codigo_material"]
+    for name, word in (("one", "a"), ("two", "b")):
+        publish(spark.createDataFrame([(word, word)], schema), "codigo_material", f"{root}/{name}", root)
+        catalog.register_table(spark, "predial_again", "codigo_material", f"{root}/{name}/codigo_material")
+        assert rows(catalog.head(spark, "predial_again", "codigo_material")) == [(word, word)]

@@ -392,6 +392,11 @@ def oracles() -> dict[str, str]:
         + """SELECT precio, p, count(*) AS validos, true AS dentro_del_error
             FROM positive, (VALUES (cast(0.25 AS double)), (0.5), (0.75)) probs(p)
             GROUP BY precio, p""",
+        "quartiles_merged": _with(RAW_SALES, _typed(_int)) + """
+            SELECT precio, p, count(*) AS validos, true AS dentro_del_error FROM ("""
+        + " UNION ALL ".join(
+            f"SELECT '{c}' AS precio FROM typed WHERE {c} > 0" for c in PRICES)
+        + """), (VALUES (cast(0.25 AS double)), (0.5), (0.75)) probs(p) GROUP BY precio, p""",
         "tidy_properties": _with(_raw_properties()) + "SELECT " + ", ".join(
             f"{_tidy(c)} AS {c}" for c in (*fx.PROPERTIES, "periodo")) + " FROM raw_properties",
         "construcciones": _with(_buildings()) + "SELECT * FROM buildings",

@@ -18,7 +18,7 @@ from predial.contracts import (
     SCHEMAS,
     ContractError,
 )
-from predial.operators import quantiles
+from predial.operators import quantiles, sketches
 from predial.operators.casting import check_schema, conform
 from predial.operators.counting import count_by
 from predial.operators.duplicates import exact_duplicates, most_repeated
@@ -280,11 +280,8 @@ def box(spark, sf_dir):
     return quantiles.box_summary(_exact(spark, sf_dir))
 
 
-@query
-def quartiles_approx(spark, sf_dir):
-    """One-pass quartiles, each with proof that its rank is within the allowed error."""
-    positive = quantiles.positive_values(_prices(spark, sf_dir), PRICES)
-    found = quantiles.approx_quantiles(positive)
+def _within_error(positive: DataFrame, found: DataFrame) -> DataFrame:
+    """Whether the rank of each quantile found is within the allowed error."""
     ranked = positive.join(F.broadcast(found), "precio").groupBy("precio", "p").agg(
         F.count("*").alias("validos"),
         F.count_if(F.col("valor") < F.col("cuantil")).alias("below"),
@@ -296,6 +293,25 @@ def quartiles_approx(spark, sf_dir):
     return ranked.select("precio", "p", "validos", close.alias("dentro_del_error"))
 
 
+@query
+def quartiles_approx(spark, sf_dir):
+    """One-pass quartiles, each with proof that its rank is within the allowed error."""
+    positive = quantiles.positive_values(_prices(spark, sf_dir), PRICES)
+    return _within_error(positive, quantiles.approx_quantiles(positive))
+
+
+@query
+def quartiles_merged(spark, sf_dir):
+    """Quartiles from stored sketches of years, delivered in two parts, one year twice."""
+    path = replaceable_folder(spark, "sketches")
+    sales, year = _typed(spark, sf_dir), F.year("fecha_escritura")
+    late = F.coalesce(year >= 1995, F.lit(False))
+    for delivered in (~late, late, F.coalesce(year == 1996, F.lit(False))):
+        sketches.store_sketches(sketches.part_sketches(sales.filter(delivered), PRICES, year), path)
+    found = sketches.merged_quantiles(sketches.read_sketches(spark, path))
+    return _within_error(quantiles.positive_values(sales, PRICES), found)
+
+
 @query
 def sample(spark, sf_dir):
     """The very rows, which don't depend on partitioning."""
