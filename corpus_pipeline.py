@@ -8,7 +8,8 @@ columns of their input.
    like the others.
 2. exact_dedup: of equal texts the row with the largest id stays. Null counts as empty.
 3. near_dedup: of near duplicates (five-word shingles, similarity 0.8) the smallest id stays.
-4. personal_data: spans are replaced by their kind; `n_chars`, if there, follows the text.
+4. personal_data: spans are replaced by their kind; `n_chars`, if it is a number, follows the
+   text (null where its type can't hold the length); of another type it stays as it is.
 5. packing: whole documents as pieces with their packed ids, placed in sequences of 2048.
 
 Null or empty texts pass through every stage as empty texts; an empty table gives an empty
@@ -20,6 +21,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from predial.llm import exact_dedup, jaccard_join, packing, pii, quality
 from predial.llm.support import fresh, prepare, table
@@ -50,9 +52,9 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def personal_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     clean = pii.redact(docs, pii.train(docs))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        clean = clean.withColumn("n_chars", F.length("text").cast(kind))
+    kind = docs.schema["n_chars"].dataType if "n_chars" in docs.columns else None
+    if isinstance(kind, NumericType):
+        clean = clean.withColumn("n_chars", F.length("text").try_cast(kind))
     return clean
 
 
