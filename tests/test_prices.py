@@ -1,13 +1,14 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from conftest import rows
 from predial.contracts import CLP_CAP, RAW_SALES, SCHEMAS, UF_CAP, ContractError
 from predial.functions import rules
 from predial.operators.casting import check_schema
-from predial.sinks.guards import measure
+from predial.sinks.guards import measure, measures
 from predial.operators import quantiles
 from predial.plans import prices, profile
 from workload import views
@@ -155,18 +156,21 @@ def test_unusable_rows_are_left_out_by_the_scan(spark, tmp_path):
         assert f"IsNotNull({c})" in scan
 
 
-def test_audit_knows_what_the_guards_ask(spark):
+def test_figures_observed_while_writing(spark):
+    """The audits and what the guards ask, counted on the way, against scans of their own."""
     typed = prices.type_sales(views.raw_sales(spark, SF))
     df = prices.type_rates(views.raw_rates(spark, SF))
     args = (typed, prices.rate_reference(df), prices.check_rates(df), None, None)
     huge = typed.limit(1).selectExpr("1 cod_com", "1 cod_mz", "1 cod_pr", "date'1995-01-02' fecha_escritura",
                                      "1e300D precio_clp", "cast(null as double) precio_uf")
     for sales in (typed, typed.union(huge)):
-        audit = prices.sales_audit(sales, *args[1:], for_publishing=True).first().asDict()
-        final = prices.finish_sales(sales, *args[1:])
-        for name, n in measure(final, "precios_transaccionales").items():
-            assert audit[name] == n
-    assert audit["not finite precio_clp"] == audit["not finite precio_uf"] == 1
+        dropped, changed, written = (Observation(n) for n in ("dropped", "changed", "written"))
+        final = prices.finish_sales(prices.watched_sales(sales, dropped), *args[1:], watch=changed)
+        watched = final.observe(written, *measures("precios_transaccionales"))
+        watched.write.format("noop").mode("overwrite").save()
+        assert dropped.get | changed.get == prices.sales_audit(sales, *args[1:]).first().asDict()
+        assert written.get == measure(prices.finish_sales(sales, *args[1:]), "precios_transaccionales")
+    assert written.get["not finite precio_clp"] == written.get["not finite precio_uf"] == 1
 
 
 def test_one_pass_summary_agrees_with_the_single_reports(spark):
