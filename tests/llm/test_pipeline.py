@@ -103,5 +103,5 @@ def test_without_labels(spark, tmp_path):
 def test_registered():
     entry = importlib.import_module("__spark_entry__")
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert entry.queries()["pipeline"] is corpus_pipeline.run
