@@ -134,6 +134,25 @@ def parse_record(member: bytes) -> dict:
 
 # -- files ------------------------------------------------------------------------
 
+# Addresses that both Spark and the workers resolve, as the workers name them.
+SCHEMES = {"file": "file", "hdfs": "hdfs", "viewfs": "viewfs", "s3a": "s3", "s3": "s3", "gs": "gs"}
+
+
+def qualified(spark: SparkSession, root: str) -> str:
+    """The full address of a folder as Spark understands it, in the workers' spelling.
+
+    Records and index are written by the workers, tables by Spark: without a scheme one would
+    take the default file system and the other the machine's own disk. An address that the
+    workers can't resolve is refused.
+    """
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    path = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path)
+    scheme, _, rest = path.toString().partition(":")
+    if scheme not in SCHEMES:
+        raise ValueError(f"archives can't be written to {scheme}: addresses")
+    return f"{SCHEMES[scheme]}:{rest}"
+
 
 class RollingFile:
     """Appends pieces to files of bounded size with names of their own."""
@@ -296,7 +315,7 @@ def write(
 
     Payloads of fewer than `at_least` bytes are never revisits.
     """
-    root = root or scratch_folder(df.sparkSession, "warc")
+    root = qualified(df.sparkSession, root or scratch_folder(df.sparkSession, "warc"))
     pages = with_originals(df, page_id, url, html, at_least)
     captures = keep(_write_records(pages, f"{root}/records"), "captures")
     count = captures.count()

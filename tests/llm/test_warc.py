@@ -123,3 +123,31 @@ def test_revisits_of_one_page_are_spread(spark):
             spark.conf.set(k, v)
     assert sorted((r.payload_digest, r.payload_bytes) for r in parts) == [("D", 9)] * 2001 + [("E", 5)] * 3
     assert max(Counter(r.part for r in parts).values()) < len(rows) / 2
+
+
+def test_addresses_are_those_of_the_default_file_system(spark):
+    """Without a scheme the workers would write to their own disks."""
+    conf = prepare(spark)._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    assert warc.qualified(spark, "/shared/x") == "file:/shared/x"
+    try:
+        conf.set("fs.defaultFS", "hdfs://localhost:1")
+        assert warc.qualified(spark, "/user/x") == "hdfs://localhost:1/user/x"
+        assert warc.qualified(spark, "file:/mnt/x") == "file:/mnt/x"
+    finally:
+        conf.set("fs.defaultFS", before)
+    with pytest.raises(ValueError, match="har"):
+        warc.qualified(_Foreign(), "x")
+
+
+class _Foreign:
+    """A session whose folders have an address that the workers don't know."""
+
+    def __getattr__(self, name):
+        return self
+
+    def __call__(self, *args):
+        return self
+
+    def toString(self):  # noqa: N802
+        return "har://x"
