@@ -6,6 +6,10 @@ expectation-maximisation finds the proportions under which its trigrams are like
 The set grows from the likeliest single language, by the next largest proportion, as long
 as the log likelihood gains more than a penalty that grows with the document's length.
 
+The model holds a quarter of a megabyte a language, on the driver and in each worker. A
+column with more than `MOST_LANGUAGES` values is no column of languages, and `train` refuses
+it by name before it counts anything; nothing is left out silently.
+
 Defined results: `und` with score 0 where the text is null or has no letter, and
 everywhere when no text teaches. Ties go to the first language by name. Whole texts count,
 whatever their length; repeated rows and extra columns change nothing but the counts.
@@ -25,6 +29,7 @@ ITERATIONS = 15
 SMOOTHING = 0.1  # added to each count
 PENALTY = 4.0  # per language more, times the logarithm of the number of trigrams
 UNKNOWN = "und"
+MOST_LANGUAGES = 512
 
 # ASCII characters that aren't letters become spaces; bytes above stay as they are.
 _LETTERS = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
@@ -83,9 +88,12 @@ def train(
     """Languages by name, and the probability of each cell in each of them.
 
     Every task counts its own texts; the counts are added up by Spark, so what reaches the
-    driver is bounded by the number of languages.
+    driver is bounded by the number of languages, which is checked first.
     """
     rows = documents.select(F.col(lang).alias("lang"), F.col(text).alias("text")).dropna()
+    found = rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).count()
+    if found > MOST_LANGUAGES:
+        raise ValueError(f"column {lang} has more than {MOST_LANGUAGES} values: not languages")
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, np.ndarray] = {}

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 from edge_cases import TEXTS, documents, no_documents
 from pyspark.sql import functions as F
 
@@ -72,3 +73,28 @@ def test_prediction_reads_only_the_text(spark):
     a, b = (sorted((r.doc_id, r.lang_pred, r.score) for r in
                    langid.identify(d, languages, likelihood).collect()) for d in (some, other))
     assert a == b
+
+
+def test_a_column_that_holds_no_languages_is_refused(spark):
+    rows = [(f"l{i}", "some text") for i in range(langid.MOST_LANGUAGES + 1)]
+    df = prepare(spark).createDataFrame(rows, "lang string, text string")
+    with pytest.raises(ValueError, match="not languages"):
+        langid.train(df)
+    assert len(langid.train(df.filter("lang <> 'l0'"))[0]) == langid.MOST_LANGUAGES
+
+
+def test_mixture_against_a_written_out_version():
+    """Proportions by loops over cells and languages."""
+    rng = np.random.default_rng(9)
+    likelihood, counts = rng.random((30, 4)), rng.integers(0, 6, 30).astype(float)
+    share = [0.25] * 4
+    for _ in range(langid.ITERATIONS):
+        new = [0.0] * 4
+        for cell in range(30):
+            mixed = sum(share[k] * likelihood[cell, k] for k in range(4))
+            for k in range(4):
+                new[k] += counts[cell] * share[k] * likelihood[cell, k] / mixed
+        share = [v / counts.sum() for v in new]
+    got, fit = langid.proportions(likelihood, counts)
+    assert np.allclose(got, share)
+    assert np.isclose(fit, sum(c * np.log(sum(s * p for s, p in zip(share, row))) for c, row in zip(counts, likelihood)))
