@@ -194,7 +194,8 @@ def train(
     )
     chosen = smallest_hashes(agreed, "doc_id", sample)
     texts = documents.select(F.col(doc_id).alias("doc_id"), full_text(text).alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").limit(sample)
+    # Where a sampled id occurs on several rows, the same ones teach on any partitioning.
+    rows = texts.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").limit(sample)
 
     def fit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = [(t, y, i) for b in batches for t, y, i in zip(*(b[c].to_pylist() for c in

@@ -80,3 +80,39 @@ def test_labels_teach_only_where_allowed(spark):
 def test_shapes_are_of_whole_words():
     assert quality.shape("a" * 300 + "9") != quality.shape("a" * 300 + "!")
     assert quality.shape("a1" * 8 + "B-") != quality.shape("a1" * 8 + "-B")
+
+
+def test_repeated_ids_teach_the_same_on_any_partitioning(spark):
+    df = prepare(spark).createDataFrame(
+        [(i % 4, f"word{i} {'good' if i % 2 else 'bad!'}") for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 0), (1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    a = quality.train(df, labels, sample=30)
+    assert np.array_equal(a, quality.train(df.repartition(7, "text"), labels, sample=30))
+
+
+def test_updates_against_a_scalar_version():
+    """The leader's update written out for one coordinate at a time."""
+    rng = np.random.default_rng(2)
+    leader = quality.Leader()
+    z, squares = {}, {}
+    examples = []
+    for _ in range(60):
+        cells = np.unique(rng.integers(0, 40, 6))
+        examples.append((cells, rng.random(len(cells)), float(rng.integers(0, 2))))
+
+    def weight(c):
+        if abs(z.get(c, 0.0)) <= quality.L1:
+            return 0.0
+        return -(z[c] - np.sign(z[c]) * quality.L1) / ((quality.SMOOTHING + np.sqrt(squares[c])) / quality.RATE + quality.L2)
+
+    for cells, values, label in examples:
+        p = 1 / (1 + np.exp(-sum(weight(c) * v for c, v in zip(cells, values))))
+        for c, v in zip(cells, values):
+            g, old = (p - label) * v, squares.get(c, 0.0)
+            w = weight(c)
+            sigma = (np.sqrt(old + g * g) - np.sqrt(old)) / quality.RATE
+            z[c] = z.get(c, 0.0) + g - sigma * w
+            squares[c] = old + g * g
+        leader.learn(cells, values, label)
+    got = leader.weights()
+    assert all(np.isclose(got[c], weight(c)) for c in z)
