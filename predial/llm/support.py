@@ -86,17 +86,22 @@ def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def smallest_hashes(df: DataFrame, key: str, rows: int) -> DataFrame:
+def smallest_hashes(df: DataFrame, key: str, rows: int, ties: Iterable[str] = ()) -> DataFrame:
     """At most `rows` rows, those whose key has the smallest hash: the same in any order.
 
-    Only about four times as many rows as wanted reach the final ordering, however large
-    `df` is; the others are filtered by their hash where they are read.
+    Rows of equal keys go by `ties`. With keys that differ, only about four times as many
+    rows as wanted reach the final ordering, however large `df` is; the others are filtered
+    by their hash where they are read. Where many rows share keys (or have none) and too
+    few pass, the filter is widened until enough do.
     """
-    total = df.count()
-    if total > 4 * rows:
-        cutoff = 2**64 * 4 * rows // total - 2**63
-        df = df.filter(F.xxhash64(key) < F.lit(cutoff))
-    return df.orderBy(F.xxhash64(key), key).limit(rows)
+    total, share = df.count(), 4 * rows
+    while 0 < share < total:
+        near = df.filter(F.xxhash64(key) < F.lit(2**64 * share // total - 2**63))
+        if near.count() >= rows:
+            df = near
+            break
+        share *= 8
+    return df.orderBy(F.xxhash64(key), key, *ties).limit(rows)
 
 
 def full_text(text: str) -> Column:
