@@ -20,14 +20,13 @@ import gc
 import re
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from predial.llm.support import Recent
+from predial.llm.support import Recent, remembered
 
 CACHE_ENTRIES = 400_000  # stretches and pieces a worker remembers, at most
 SHORT = 64  # characters or bytes of the longest that it remembers
@@ -202,11 +201,14 @@ class TextCodec:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-@lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> TextCodec:
     """One codec a worker, kept between its tasks."""
-    gc.set_threshold(1_000_000, 50, 50)  # many small lists, none of them in cycles
-    return TextCodec(path, pattern)
+
+    def make() -> TextCodec:
+        gc.set_threshold(1_000_000, 50, 50)  # many small lists, none of them in cycles
+        return TextCodec(path, pattern)
+
+    return remembered(f"byte_bpe {path} {pattern}", make)
 
 
 def _mapped(df: DataFrame, columns: dict[str, str], added: str, convert) -> DataFrame:

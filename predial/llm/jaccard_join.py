@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from predial.llm.components import smallest_reachable
 from predial.llm.exact_dedup import per_salt, salt_of
 from predial.llm.shingles import Shingler, mixed, set_digest, similar
-from predial.llm.support import batches_of, discard, fresh, full_text, keep
+from predial.llm.support import batches_of, discard, forget_others, fresh, full_text, keep
 
 WORDS, PERCENT = 5, 80
 BAND_STEPS = 2  # a band spans this many times the size ratio of similar sets
@@ -230,6 +230,7 @@ def signed_sets(rows: DataFrame, words: int, percent: int) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others("jaccard_join")
         shingler, seen, hot = Shingler(words), set(), Hot()
         for batch in batches:
             ids = batch["doc_id"].to_pylist()
@@ -462,6 +463,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, words: int, percent: int) -> Da
     compared = pairs.join(second, "b").join(first, "a").select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others("jaccard_join")
         shingler, last, last_set = Shingler(words), None, None
         for batch in batches:
             keeps = []

@@ -26,14 +26,13 @@ import zlib
 from array import array
 from bisect import insort
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from predial.llm.support import Recent, keep
+from predial.llm.support import Recent, keep, remembered
 
 CAPACITY = 2048
 END_OF_DOCUMENT = 0
@@ -98,9 +97,8 @@ class WordTokenizer:
         return [b"".join(ids) for ids in ids_of]
 
 
-@lru_cache(maxsize=2)
 def tokenizer(path: str) -> WordTokenizer:
-    return WordTokenizer(path)
+    return remembered(f"packing {path}", lambda: WordTokenizer(path))
 
 
 def cut_pieces(

@@ -9,7 +9,8 @@ number of words. The weights are learnt by follow-the-regularised-leader updates
 score is the logistic function of a sparse dot product.
 
 The model is fitted on at most `SAMPLE` labelled rows, those with the smallest hash of
-their id, in one task; the labels of other rows aren't read. Scores cover all rows.
+their id, in one task; the labels of other rows aren't read. That task keeps the cells of
+each text, not the text. Scores cover all rows.
 
 Defined results: null text counts as empty, and a text without words is scored by the bias
 alone. A document whose labels contradict each other equally often doesn't teach. Without
@@ -18,6 +19,7 @@ any label every score is 0.5. Repeated rows and ties get equal scores.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -27,13 +29,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from predial.llm.support import full_text, smallest_hashes
+from predial.llm.support import forget_others, full_text, give_back, smallest_hashes
 
 BUCKETS = 1 << 18
 SAMPLE = 6000  # labelled rows that the model is fitted on, at most
 EPOCHS = 3
 RATE, SMOOTHING, L1, L2 = 0.5, 1.0, 0.02, 0.1
 KNOWN_WORDS = 300_000  # words a worker remembers
+PORTION = 1 << 20  # characters that are scored at once; a longer text is scored alone
 
 _RUNS = re.compile(r"[A-ZÀ-ÖØ-Þ]+|[a-zß-öø-ÿ]+|[0-9]+|[^A-Za-z0-9À-ÖØ-öø-ÿ]")
 _CORE = re.compile(r"\W+")
@@ -148,26 +151,56 @@ class Leader:
         self.n[at] = n + gradient**2
 
 
-def fit_weights(texts: list[str], labels: list[float]) -> np.ndarray:
+Example = tuple[np.ndarray, np.ndarray, int]
+
+
+def example(words: Words, text: str) -> Example:
+    """The cells of a text, how often each occurs (in as few bytes as hold it), its words."""
+    kinds, sizes = cells(words, [text])
+    at, count = np.unique(np.concatenate([c for _, c in kinds]), return_counts=True)
+    small = np.min_scalar_type(int(count.max()) if len(count) else 0)
+    return at.astype(np.int32), count.astype(small), int(sizes[0])
+
+
+def fit_examples(examples: list[Example], labels: list[float]) -> np.ndarray:
     """Weights of the cells, the bias last."""
-    words, leader, examples = Words(), Leader(), []
-    for text in texts:
-        kinds, sizes = cells(words, [text])
-        at, count = np.unique(np.concatenate([c for _, c in kinds]), return_counts=True)
-        value = np.append(count / max(1, sizes[0]), 1.0)
-        examples.append((np.append(at, BUCKETS), value))
+    leader = Leader()
     for epoch in range(EPOCHS):
         for i in np.random.default_rng(epoch).permutation(len(examples)):
-            leader.learn(*examples[i], labels[i])
+            at, count, size = examples[i]
+            value = np.append(count.astype(float) / max(1, size), 1.0)
+            leader.learn(np.append(at, np.int32(BUCKETS)), value, labels[i])
     return leader.weights()
 
 
+def fit_weights(texts: list[str], labels: list[float]) -> np.ndarray:
+    """Weights of the cells, the bias last."""
+    words = Words()
+    return fit_examples([example(words, text) for text in texts], labels)
+
+
+def portions(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in order, so many at a time that they have about `PORTION` characters."""
+    part, held = [], 0
+    for text in texts:
+        if part and held + len(text) > PORTION:
+            yield part
+            part, held = [], 0
+        part.append(text)
+        held += len(text)
+    if part:
+        yield part
+
+
 def score_texts(words: Words, weights: np.ndarray, texts: list[str]) -> np.ndarray:
-    kinds, sizes = cells(words, texts)
-    total = np.zeros(len(texts))
-    for row, cell in kinds:
-        total += np.bincount(row, weights=weights[cell], minlength=len(texts))
-    return _sigmoid(total / np.maximum(1, sizes) + weights[BUCKETS])
+    scores = [np.zeros(0)]
+    for part in portions(texts):
+        kinds, sizes = cells(words, part)
+        total = np.zeros(len(part))
+        for row, cell in kinds:
+            total += np.bincount(row, weights=weights[cell], minlength=len(part))
+        scores.append(_sigmoid(total / np.maximum(1, sizes) + weights[BUCKETS]))
+    return np.concatenate(scores)
 
 
 # -- on tables --------------------------------------------------------------------
@@ -198,12 +231,18 @@ def train(
     rows = texts.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "text").limit(sample)
 
     def fit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = [(t, y, i) for b in batches for t, y, i in zip(*(b[c].to_pylist() for c in
-                                                               ("text", "label", "doc_id")))]
-        seen.sort(key=lambda x: (x[2], x[0]))  # the result must not depend on the order
+        forget_others("quality")
+        words, seen = Words(), []
+        for b in batches:
+            for t, y, i in zip(*(b[c].to_pylist() for c in ("text", "label", "doc_id"))):
+                digest = hashlib.blake2b(t.encode(), digest_size=16).digest()
+                seen.append((i, digest, y, example(words, t)))
+        seen.sort(key=lambda x: x[:2])  # the result must not depend on the order
         if seen:
-            weights = fit_weights([t for t, _, _ in seen], [y for _, y, _ in seen])
+            weights = fit_examples([e for _, _, _, e in seen], [y for _, _, y, _ in seen])
             packed = weights.astype("<f4").tobytes()
+            del words, seen
+            give_back()
             yield pa.RecordBatch.from_arrays([pa.array([packed], pa.binary())], names=["weights"])
 
     found = rows.coalesce(1).mapInArrow(fit, "weights binary").collect()
@@ -221,6 +260,7 @@ def with_score(
 
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
+        forget_others("quality")
         words = state.setdefault("words", Words())
         return pa.array(score_texts(words, shared.value, texts.to_pylist()), pa.float64())
 

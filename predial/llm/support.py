@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
+from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +28,11 @@ SETTINGS = {
 PACKAGE = Path(__file__).resolve().parents[1]
 _shipped: set[str] = set()
 
+COLLECTS_AFTER = gc.get_threshold()  # an operator may raise it for its own tasks
+
+T = TypeVar("T")
+_held: dict[str, object] = {}  # of a Python worker: what the operator that ran last remembers
+
 
 def ship_code(spark: SparkSession) -> None:
     """Give the Python workers this package, unless they are started with its path."""
@@ -137,3 +146,33 @@ class Recent:
         self.young.update((k, v) for k, v in found.items() if len(k) <= self.longest)
         if len(self.young) > self.entries:
             self.young, self.old = {}, self.young
+
+
+def give_back() -> None:
+    """Free what this worker remembers, and hand unused memory back to the system."""
+    _held.clear()
+    gc.set_threshold(*COLLECTS_AFTER)
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library, which has no such call
+
+
+def forget_others(owner: str) -> None:
+    """Before a task of `owner`: what other operators left in this worker goes.
+
+    Spark uses Python workers again for later jobs; without this each of them ends up with
+    the memories of all operators of a session.
+    """
+    if _held and owner not in _held:
+        give_back()
+
+
+def remembered(owner: str, make: Callable[[], T]) -> T:
+    """What a worker remembers from task to task for `owner`, until another one runs in it."""
+    if owner not in _held:
+        forget_others(owner)
+        _held[owner] = make()
+    return _held[owner]
