@@ -86,18 +86,24 @@ class Booster:
         return total
 
     def probability(self, x: np.ndarray) -> np.ndarray:
-        return sigmoid(self.slope * self.raw(x) + self.shift)
+        return self.calibrated(self.raw(x))
+
+    def calibrated(self, raw: np.ndarray) -> np.ndarray:
+        return sigmoid(self.slope * raw + self.shift)
 
     def calibrate(self, x: np.ndarray, y: np.ndarray) -> None:
         """Platt's scaling on rows that the trees weren't grown on, by Newton's method."""
-        raw = self.raw(x)
-        positive = (y.sum() + 1) / (y.sum() + 2)
-        target = np.where(y == 1, positive, 1 / (len(y) - y.sum() + 2))
+        self.calibrate_scores(self.raw(x), y, np.ones(len(y)))
+
+    def calibrate_scores(self, raw: np.ndarray, y: np.ndarray, weight: np.ndarray) -> None:
+        right = (weight * y).sum()
+        positive = (right + 1) / (right + 2)
+        target = np.where(y == 1, positive, 1 / (weight.sum() - right + 2))
         a, b = 1.0, 0.0
         for _ in range(25):
             p = sigmoid(a * raw + b)
-            w = p * (1 - p) + 1e-9
-            g = np.array([((p - target) * raw).sum(), (p - target).sum()])
+            w = weight * (p * (1 - p) + 1e-9)
+            g = np.array([(weight * (p - target) * raw).sum(), (weight * (p - target)).sum()])
             h = np.array([[(w * raw * raw).sum(), (w * raw).sum()], [(w * raw).sum(), w.sum()]])
             a, b = np.array([a, b]) - np.linalg.solve(h + 1e-3 * np.eye(2), g)
         self.slope, self.shift = float(max(a, 1e-3)), float(b)

@@ -3,14 +3,16 @@
 Four base kinds are found by fixed patterns and checks, and always stand. Beyond them,
 generators of high recall propose spans, which may overlap each other: each run of digit
 groups whose digits suit a kind, document numbers of letters and digits, written-out
-addresses in any case of letters, account numbers (spaced or not), colon-separated addresses. Boosted trees score each proposal by its format and its context; proposals at or
+addresses in any case of letters, account numbers (spaced or not), colon-separated
+addresses. Boosted trees score each proposal by its format and its context; proposals at or
 above the threshold of their kind, which is calibrated on rows held back from the trees,
 are accepted, the best first, unless they overlap a base span or one accepted before.
 
-The trees learn from generated examples and from proposals in at most `SAMPLE_DOCS`
-documents, those with the smallest hash of their id, in which the base rules tell what is
-personal, or a date, a checksum or the words around speak against a proposal; what neither
-tells is left out. Positions are in code points, the end exclusive.
+The trees learn from generated examples and then go on with every proposal of the whole
+table that the base rules tell to be personal, or that a date, a checksum or the words around
+speak against; what neither tells is no example. A third of them, by their features, is held
+back for calibration and thresholds, in which all of that third count. Positions are in code
+points, the end exclusive.
 
 Defined results: null text counts as empty; texts without findings have no spans. Each
 kind's base matches are found on their own, so spans of two kinds may overlap; where they
@@ -34,15 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from predial.llm import boosting
-from predial.llm.support import forget_others, full_text, smallest_hashes
+from predial.llm import boosting, continued
+from predial.llm.support import forget_others, full_text
 
 # The kinds in the order in which spans are listed. Base ones come first.
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "id", "iban", "document")
 
-SAMPLE_DOCS = 400
-SAMPLE_PER_DOC = 20  # labelled proposals of each kind
+SAMPLE_PER_DOC = 20  # labelled proposals of each kind that are shown of a text
 LEAST_PRECISION = 0.99
 LEAST_THRESHOLD = 0.8
 CONTEXT = 40  # characters before a span that are searched for words
@@ -579,19 +580,24 @@ def against(text: str, span: Span) -> bool:
     )
 
 
-def _weak_examples(text: str) -> list[list[float]]:
-    """Labelled proposals of a text: features and, last, 1 for a base span, 0 where something
-    speaks against. Others aren't known and are left out; of each kind those with the smallest
-    hash stay, wherever they stand in the text."""
+def labelled(text: str) -> Iterator[tuple[Span, float]]:
+    """Every proposal that is known: 1 for a base span, 0 where something speaks against."""
     base = base_spans(text)
     known, occupied = set(base), _Occupied(base)
-    labelled: dict[str, list[tuple[Span, float]]] = {kind: [] for kind in KINDS}
     for p in _proposed(text):
         if p in known:
-            labelled[p[0]].append((p, 1.0))
+            yield p, 1.0
         elif occupied.clear(p[1], p[2]) and against(text, p):
-            labelled[p[0]].append((p, 0.0))
-    return [[*features(text, p), label] for of_kind in labelled.values()
+            yield p, 0.0
+
+
+def _weak_examples(text: str) -> list[list[float]]:
+    """To look at: some labelled proposals of a text, features and, last, the label. Of each
+    kind those with the smallest hash, wherever they stand in the text. Training takes all."""
+    of: dict[str, list[tuple[Span, float]]] = {kind: [] for kind in KINDS}
+    for p, label in labelled(text):
+        of[p[0]].append((p, label))
+    return [[*features(text, p), label] for of_kind in of.values()
             for p, label in heapq.nsmallest(SAMPLE_PER_DOC, of_kind, key=lambda x: _sample_order(text, x[0]))]
 
 
@@ -632,6 +638,14 @@ class ByKind:
 
     boosters: list[boosting.Booster]
 
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        raw = np.zeros(len(x))
+        for k, booster in enumerate(self.boosters):
+            mine = x[:, 0] == k
+            if mine.any():
+                raw[mine] = booster.raw(x[mine])
+        return raw
+
     def probability(self, x: np.ndarray) -> np.ndarray:
         p = np.zeros(len(x))
         for k, booster in enumerate(self.boosters):
@@ -673,44 +687,77 @@ class Model:
         return listed
 
 
-def fit_model(x: np.ndarray, y: np.ndarray) -> Model:
-    """Trees on two thirds of the rows, calibration and thresholds on the rest."""
+def _grown(x: np.ndarray, y: np.ndarray) -> tuple[ByKind, np.ndarray]:
+    """Trees on two thirds of the rows, and which ones were held back."""
     held = np.arange(len(x)) % 3 == 0
-    boosters = []
-    for k in range(len(KINDS)):
-        mine = x[:, 0] == k
-        boosters.append(boosting.fit(x[mine & ~held], y[mine & ~held]))
-        boosters[-1].calibrate(x[mine & held], y[mine & held])
-    booster = ByKind(boosters)
-    p, kind, truth = booster.probability(x[held]), x[held][:, 0], y[held]
+    mine = [(x[:, 0] == k) & ~held for k in range(len(KINDS))]
+    return ByKind([boosting.fit(x[own], y[own]) for own in mine]), held
+
+
+def _calibrated(booster: ByKind, kind: np.ndarray, raw: np.ndarray, truth: np.ndarray, weight: np.ndarray) -> Model:
+    """Calibration and thresholds, by scores of rows that the trees weren't grown on."""
     thresholds = np.ones(len(KINDS))
-    for k in range(len(KINDS)):
-        mine = np.argsort(-p[kind == k], kind="stable")
-        right = np.cumsum(truth[kind == k][mine])
-        good = np.flatnonzero(right >= LEAST_PRECISION * np.arange(1, len(mine) + 1))
+    for k, own in enumerate(booster.boosters):
+        mine = kind == k
+        own.calibrate_scores(raw[mine], truth[mine], weight[mine])
+        p = own.calibrated(raw[mine])
+        order = np.argsort(-p, kind="stable")
+        right = np.cumsum((weight * truth)[mine][order])
+        good = np.flatnonzero(right >= LEAST_PRECISION * np.cumsum(weight[mine][order]))
         if len(good):
-            thresholds[k] = max(LEAST_THRESHOLD, p[kind == k][mine][good[-1]])
+            thresholds[k] = max(LEAST_THRESHOLD, p[order][good[-1]])
     return Model(booster, thresholds)
 
 
-def train(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Model:
-    """A model from generated examples and the proposals of a bounded sample of `df`."""
-    rows = df.select(F.col(doc_id).alias("doc_id"), full_text(text).alias("text"))
-    sample = smallest_hashes(rows, "doc_id", SAMPLE_DOCS, ties=["text"])
+def fit_model(x: np.ndarray, y: np.ndarray) -> Model:
+    """Trees on two thirds of the rows, calibration and thresholds on the rest."""
+    booster, held = _grown(x, y)
+    return _calibrated(booster, x[held][:, 0], booster.raw(x[held]), y[held], np.ones(held.sum()))
+
+
+def _row(x: np.ndarray, kind: int) -> np.ndarray:
+    return np.insert(x, 0, float(kind), axis=1)
+
+
+def examples(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """All labelled proposals of `df`; those of a batch of texts that are alike in one row.
+
+    A third is held back, by the features, so that like ones are never on both sides.
+    """
 
-    def propose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others("pii")
         for batch in batches:
-            found = [_weak_examples(t) for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x for xs in found for x in xs], pa.list_(pa.float64()))], names=["x"]
-            )
+            counts: dict[tuple[int, int, bytes], int] = {}
+            found = ((t, p, label) for t in batch["text"].to_pylist() for p, label in labelled(t))
+            for block in batched(found, BLOCK):
+                x = np.array([features(t, p) for t, p, _ in block])
+                for own, (_, _, label), kind in zip(continued.as_bytes(x[:, 1:]), block, x[:, 0]):
+                    key = int(kind), int(label), own.tobytes()
+                    counts[key] = counts.get(key, 0) + 1
+            kinds, labels, xs = zip(*counts) if counts else ((), (), ())
+            held = [zlib.crc32(own) % 3 == 0 for own in xs]
+            columns = [pa.array(kinds, pa.int32()), pa.array(labels, pa.int32()), pa.array(held, pa.bool_()),
+                       pa.array(xs, pa.binary()), pa.array(counts.values(), pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "label", "held", "x", "n"])
+
+    return df.select(full_text(text).alias("text")).mapInArrow(run, continued.EXAMPLES)
+
 
-    weak = [row["x"] for row in sample.mapInArrow(propose, "x array<double>").collect()]
+def train(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Model:
+    """A model from generated examples and all labelled proposals of `df`."""
     x, y = generated_examples()
-    if weak:
-        weak = np.array(sorted(weak))
-        x, y = np.concatenate([x, weak[:, :-1]]), np.concatenate([y, weak[:, -1]])
-    return fit_model(x, y)
+    booster, held = _grown(x, y)
+    kind, raw = x[:, 0].astype(int), booster.raw(x)
+    grown = ~held
+    made = continued.Examples(continued.as_bytes(x[grown, 1:]), kind[grown], y[grown], raw[grown], np.ones(grown.sum(), int))
+    learnt = continued.learn(examples(df, doc_id, text), booster.boosters, made, _row)
+    if learnt is None:
+        return _calibrated(booster, kind[held], raw[held], y[held], np.ones(held.sum()))
+    for own, more in zip(booster.boosters, learnt.trees):
+        own.trees += [boosting.Tree(tree.feature + 1, tree.limit, tree.value) for tree in more]
+    parts = zip((kind[held], booster.raw(x[held]), y[held], np.ones(held.sum())), learnt.held[:, [0, 2, 1, 3]].T)
+    return _calibrated(booster, *(np.concatenate(own) for own in parts))
 
 
 # -- on tables --------------------------------------------------------------------

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from edge_cases import SF, TEXTS, documents, no_documents
 
-from predial.llm import boosting, pii
+from predial.llm import boosting, continued, pii
 from predial.llm.support import prepare, smallest_hashes
 
 
@@ -273,3 +273,50 @@ def test_sentences_and_forms_that_no_example_has():
         for _ in range(40):
             text = sentence.format(a=n(2), b=rng.randint(1, 9))
             assert made.accepted(text, pii.base_spans(text)) == []
+
+
+def test_all_labelled_proposals_of_all_rows_teach(spark):
+    """Also of rows and proposals beyond any sample: 1,500 documents, 30 dates in one of them."""
+    dates = " and ".join(f"2021-03-{d:02d}" for d in range(1, 31))
+    rows = [(i, "call +1 (555) 010-2345 now" if i % 2 else "price 1.234.567 now") for i in range(1500)]
+    df = prepare(spark).createDataFrame([*rows, (9999, dates), (None, None)], "doc_id long, text string").repartition(5)
+    want = {}
+    for _, text in [*rows, (0, dates)]:
+        for p, label in pii.labelled(text):
+            want[pii.KINDS.index(p[0]), int(label)] = want.get((pii.KINDS.index(p[0]), int(label)), 0) + 1
+    found = pii.examples(df).groupBy("kind", "label").sum("n").collect()
+    assert {(r.kind, r.label): r["sum(n)"] for r in found} == want
+    assert want[pii.KINDS.index("phone"), 1] == 750 and sum(want.values()) > 2250
+
+
+def test_a_late_row_changes_the_trees_and_the_partitioning_does_not(spark):
+    """What few rows of a large table show is learnt, whichever rows they are."""
+    text = "call me at 555-201-2345 now"
+    clean = [(i, "nothing here") for i in range(3000)]
+    shown = [(i, f"call me at 555-{200 + i % 700}-{1000 + i} EUR") for i in range(3000, 3600)]
+    schema = "doc_id long, text string"
+    model = pii.train(prepare(spark).createDataFrame([*clean, *shown], schema).repartition(7))
+    again = pii.train(prepare(spark).createDataFrame([*shown, *clean], schema).repartition(2))
+    plain = pii.train(prepare(spark).createDataFrame(clean, schema))
+    price = "call me at 555-201-2345 EUR"
+    x = np.array([pii.features(t, ("phone", 11, 23)) for t in (text, price)])
+    p, q, r = (m.booster.probability(x) for m in (model, again, plain))
+    assert (p == q).all() and (model.thresholds == again.thresholds).all()
+    assert p[1] < r[1]
+
+
+def test_trees_over_a_table_are_those_of_its_rows_in_memory(spark):
+    """Sums per value find what a plain search over rows does: a level, with and without the table."""
+    rng = np.random.default_rng(2)
+    x = rng.integers(-1, 300, (400, 5)).astype(float)
+    y = (x[:, 2] > 120).astype(float)
+    kind = np.zeros(400, int)
+    rows = [(0, int(v), False, bytearray(b.tobytes()), 1, 0.0) for b, v in zip(continued.as_bytes(x[:300]), y)]
+    table = prepare(spark).createDataFrame(rows, f"{continued.EXAMPLES}, raw double").repartition(3)
+    rest = continued.Examples(continued.as_bytes(x[300:]), kind[300:], y[300:], np.zeros(100), np.ones(100, int))
+    whole = continued.Examples(continued.as_bytes(x), kind, y, np.zeros(400), np.ones(400, int))
+    tree = continued.go_on(table, rest, np.array([1.0]), rounds=1)[0][0]
+    alone = continued.go_on(table.limit(0), whole, np.array([1.0]), rounds=1)[0][0]
+    assert tree.feature[0] == 2 and 110 < tree.limit[0] <= 120
+    assert (tree.feature == alone.feature).all() and (tree.limit == alone.limit).all()
+    assert np.allclose(tree.value, alone.value) and ((tree(x) > 0) == (y == 1)).all()
