@@ -25,14 +25,15 @@ import os
 import zlib
 from array import array
 from bisect import insort
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from predial.llm.support import Recent, keep, remembered
+from predial.llm.support import keep, remembered
 
 CAPACITY = 2048
 END_OF_DOCUMENT = 0
@@ -40,6 +41,7 @@ BUCKET_ROWS = 200  # pieces of a length that are ranked together
 BUCKETS = 200_000  # buckets at most, besides one for each length
 CACHE_ENTRIES = 400_000  # words a worker remembers
 LONGEST_WORD = 64
+WORDS_AT_ONCE = 4096  # new words tokenised in one call
 MARKS = frozenset((b".", b",", b";", b":", b"!", b"?"))
 
 PIECE = "doc_id {kind}, piece int, start long, length long, ids_crc32 long, ids binary"
@@ -48,6 +50,50 @@ PIECE = "doc_id {kind}, piece int, start long, length long, ids_crc32 long, ids
 # -- tokens -----------------------------------------------------------------------
 
 
+class Words(dict):
+    """Packed ids by word: the latest words, and behind them those of the generation before.
+
+    A word that is unknown gets an empty place at once, which `settle` fills when its text's
+    batch is through; so a text is looked up word by word in one go.
+    """
+
+    def __init__(self, entries: int, longest: int):
+        super().__init__()
+        self.entries, self.longest = entries, longest
+        self.old: dict[bytes, bytes] = {}
+        self.plain: list[bytes] = []  # without ids so far
+        self.marked: list[bytes] = []  # those that end in a mark, which is tokenised apart
+
+    def __missing__(self, word: bytes) -> bytes | bytearray:
+        known = self.old.get(word)
+        if known is None:
+            known = bytearray()
+            ends = word[-1:] in MARKS and word[-2:-1].isalnum()
+            (self.marked if ends else self.plain).append(word)
+        self[word] = known
+        return known
+
+    def settle(self, tokenise: Callable[[list[bytes]], Iterable[bytes]]) -> None:
+        parts = [(word, self[word[:-1]], self[word[-1:]]) for word in self.marked]
+        plain, self.plain, self.marked = self.plain, [], []
+        for word, ids in zip(plain, tokenise(plain)):
+            self[word].extend(ids)
+            self._keep(word, ids)
+        for word, first, mark in parts:
+            ids = bytes(first + mark)
+            self[word].extend(ids)
+            self._keep(word, ids)
+        if len(self) > self.entries:
+            self.old = dict(self)
+            self.clear()
+
+    def _keep(self, word: bytes, ids: bytes) -> None:
+        if len(word) <= self.longest:
+            self[word] = ids
+        else:
+            del self[word]
+
+
 class WordTokenizer:
     """Ids of texts by a tokenizer that never merges across ASCII white space.
 
@@ -61,39 +107,29 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.recent = Recent(CACHE_ENTRIES, LONGEST_WORD)
-
-    def _tokenise(self, words: list[bytes]) -> dict[bytes, bytes]:
-        encoded = self.tokenizer.encode_batch_fast(
-            [w.decode() for w in words], add_special_tokens=False
-        )
-        return {w: array("I", e.ids).tobytes() for w, e in zip(words, encoded)}
-
-    def _learn(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
-        marked = {w for w in words if w[-1:] in MARKS and w[-2:-1].isalnum()}
-        plain = set(words) - marked
-        parts, new = self.recent.fill({p for w in marked for p in (w[:-1], w[-1:])} - plain)
-        parts.update(self._tokenise(list(plain | new)))
-        parts.update([(w, parts[w[:-1]] + parts[w[-1:]]) for w in marked])
-        return parts
+        self.model = self.tokenizer.model
+        self.words = Words(CACHE_ENTRIES, LONGEST_WORD)
+
+    def _tokenise(self, words: list[bytes]) -> Iterator[bytes]:
+        """Ids of each word. One of the letters a-z alone goes to the tokenizer's model as it
+        is: nothing in it is normalised, split or added, and no mark or space stands beside."""
+        tokens = self.model.tokenize
+        for block in batched(words, WORDS_AT_ONCE):
+            plain = [w.isalpha() and w.islower() for w in block]
+            others = [w.decode() for w, letters in zip(block, plain) if not letters]
+            encoded = iter(self.tokenizer.encode_batch_fast(others, add_special_tokens=False))
+            for word, letters in zip(block, plain):
+                ids = [t.id for t in tokens(word.decode())] if letters else next(encoded).ids
+                yield array("I", ids).tobytes()
 
     def encode_many(self, texts: list[str | None]) -> list[bytes]:
         """Packed little-endian ids of each text. Words that are new are tokenised once."""
-        words_of = []
+        ids_of, look_up = [], self.words.__getitem__
         for text in texts:
             raw = (text or "").encode()
             # A special token's string counts in small letters only.
-            words_of.append((raw if b"<|" in raw else raw.lower()).split())
-        recent = self.recent.young.get
-        ids_of = [list(map(recent, words)) for words in words_of]
-        gaps = [(words, ids) for words, ids in zip(words_of, ids_of) if None in ids]
-        found, new = self.recent.fill(
-            {w for words, ids in gaps for w, i in zip(words, ids) if i is None}
-        )
-        found.update(self._learn(new))
-        for words, ids in gaps:
-            ids[:] = [found[w] if i is None else i for w, i in zip(words, ids)]
-        self.recent.add(found)
+            ids_of.append(list(map(look_up, (raw if b"<|" in raw else raw.lower()).split())))
+        self.words.settle(self._tokenise)
         return [b"".join(ids) for ids in ids_of]
 
 

@@ -123,3 +123,26 @@ def test_many_buckets_of_one_length(spark, monkeypatch):
     df = prepare(spark).createDataFrame([(i, "a b c") for i in range(500)], "doc_id long, text string")
     rows = packing.pack(df, PATH, capacity=11).collect()
     assert check_sequences(rows, 11) == 250
+
+
+def test_words_of_letters_go_to_the_model(monkeypatch):
+    """Ids are those of the whole text whatever is known of its words, and each is looked up once."""
+    rng = random.Random(2)
+    ours = packing.WordTokenizer(PATH)
+    ours.words.entries = 300
+    asked = []
+    tokenise = ours._tokenise
+    monkeypatch.setattr(ours, "_tokenise", lambda words: asked.append(list(words)) or tokenise(words))
+    syllables = "an the tion wh er ist LL 's 12 . , <|endoftext|> \u017f \u00e9 x".split()
+    for _ in range(60):
+        texts = [" ".join("".join(rng.choices(syllables, k=rng.randint(1, 5))) for _ in range(40)) for _ in range(5)]
+        texts += ["z" * 80 + ", " + "z" * 80 + " end. end", None, ""]
+        for text, ids in zip(texts, ours.encode_many(texts)):
+            want = TOKENIZER.encode(text or "", add_special_tokens=False).ids
+            assert np.frombuffer(ids, "<u4").tolist() == want
+    assert all(len(words) == len(set(words)) for words in asked)
+    assert len(ours.words) <= 300 + 500 and all(type(ids) is bytes for ids in ours.words.values())
+    vowels = "aeiou"
+    words = ["".join(rng.choices(vowels + "bcdfghlmnprst", k=rng.randint(1, 14))) for _ in range(5000)]
+    assert list(tokenise([w.encode() for w in words])) == [
+        np.array(e.ids, "<u4").tobytes() for e in TOKENIZER.encode_batch(words, add_special_tokens=False)]
